@@ -70,10 +70,10 @@ def reading_table_rows(enriched: DataFrame) -> DataFrame:
 
 
 def enriched_sink(table_path: str, json_path: str, avro_path: str, failures: Sink | None = None,
-                  health: PipelineModel | None = None) -> Sink:
+                  health: PipelineModel | None = None, default_result: Column | None = None) -> Sink:
     """Topic records to: keyed table, JSON topic folder, Avro folder, and quarantine, from one pass."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = enrich(batch, health)
+        good, bad = enrich(batch, health, default_result)
         store = keyed.upsert(table_path, schemas.TABLE_KEYS["sensors"], shape=reading_table_rows)
         publish = sinks.file_batch(json_path, shape=lambda d: sinks.json_records(d, "iot_enriched"))
         def avro(d: DataFrame, n: int) -> None:

@@ -585,6 +585,13 @@ def ml04(spark, sf):
     return metrics
 
 
+@query("ml06_best_of_experiments")
+def ml06(spark, sf):
+    """The three tried settings; the metrics of each run."""
+    metrics, _ = pipelines.train_and_choose(_frame(spark, sf))
+    return metrics
+
+
 @query("ml05_confusion")
 def ml05(spark, sf):
     train, test = model.split_frame(_frame(spark, sf), 0.7, 7)

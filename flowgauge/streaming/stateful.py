@@ -131,8 +131,8 @@ def _watch(step: int):
 
 
 def monitor_inactivity(df: DataFrame, threshold: int = 45, time: str = "event_time",
-                       key: str | None = None) -> DataFrame:
-    """Messages of an inactivity monitor on a watermarked stream.
+                       key: str | None = None, watermark: str = "3 seconds") -> DataFrame:
+    """Messages of an inactivity monitor; the stream comes without a watermark and gets one here.
 
     ``inactive`` when nothing came for ``threshold`` seconds, again for each
     further ``threshold`` seconds, and ``restored`` when records come again.
@@ -145,5 +145,5 @@ def monitor_inactivity(df: DataFrame, threshold: int = 45, time: str = "event_ti
         monitor.alias("monitor"), F.unix_micros(time).alias("us"), F.col(time).alias("event_time"))
     cells = rows.mapInPandas(
         _fold_cells(step), "monitor string, first_us bigint, last_us bigint, event_time timestamp")
-    return cells.withWatermark("event_time", "3 seconds").groupBy("monitor").applyInPandasWithState(
+    return cells.withWatermark("event_time", watermark).groupBy("monitor").applyInPandasWithState(
         _watch(step), MONITOR_OUTPUT, MONITOR_STATE, "append", GroupStateTimeout.EventTimeTimeout)

@@ -77,6 +77,7 @@ if __name__ == "__main__":
     part = sys.argv[2] if len(sys.argv) > 2 else ""
     session = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     con = tables(folder)
