@@ -74,10 +74,14 @@ def score(model: PipelineModel, df: DataFrame, into: str = "result") -> DataFram
 
 def evaluate(scored: DataFrame, label: str = "12", score_col: str = "result") -> dict[str, float]:
     """Area under the ROC curve and the precision-recall curve."""
-    frame = scored.select(F.col(label).cast("double").alias("label"), F.col(score_col).cast("double").alias("s"))
+    frame = scored.select(
+        F.col(label).cast("double").alias("label"), F.col(score_col).cast("double").alias("s")).persist()
     measure = lambda metric: BinaryClassificationEvaluator(
         labelCol="label", rawPredictionCol="s", metricName=metric).evaluate(frame)
-    return {"auroc": measure("areaUnderROC"), "ap": measure("areaUnderPR")}
+    try:
+        return {"auroc": measure("areaUnderROC"), "ap": measure("areaUnderPR")}
+    finally:
+        frame.unpersist()
 
 
 def importances(model: PipelineModel, features: Sequence[str] = FEATURES) -> dict[str, float]:

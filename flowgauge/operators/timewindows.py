@@ -35,43 +35,48 @@ def sliding_stats(
 ) -> DataFrame:
     """Statistics of a reading over windows of ``size`` that start every ``slide``.
 
-    A stream uses Spark's sliding window as it is.  A batch is first folded to
-    one row per key and slide, and only those rows are spread over the windows
-    they belong to; all six statistics recombine exactly.  The spread rows
-    number at most ``size / slide`` times the cells, not times the readings.
+    Rows are first folded to one cell per key and slide, and only the cells are
+    spread over the windows they belong to; all six statistics recombine
+    exactly.  The spread rows number at most ``size / slide`` times the cells,
+    not times the readings.  On a stream both steps are windowed aggregates.
     """
     step, length = interval_seconds(slide), interval_seconds(size)
-    if df.isStreaming or length % step:
+    if length % step:
         grouped = df.groupBy(*keys, F.window(time, size, slide).alias("_w"))
         return grouped.agg(*_window_stats(value, threshold)).select(*keys, F.col("_w.end").alias(end), *STATS)
 
-    us = F.unix_micros(F.col(time).cast("timestamp"))
-    step_us = step * 1_000_000
     v = F.col(value)
-    cells = (
-        df.filter(F.col(time).isNotNull())
-        .groupBy(*keys, F.floor(us / F.lit(step_us)).alias("_cell"))
-        .agg(
-            F.count(F.lit(1)).alias("_count"),
-            F.sum(v).alias("_sum"),
-            F.sum(v.cast("float").cast("double")).alias("_fsum"),
-            F.count(v).alias("_present"),
-            F.min(v).alias("_min"),
-            F.max(v).alias("_max"),
-            F.count_if(v > threshold).alias("_over"),
-        )
-    )
-    # Ends of the windows that hold a cell: its own end and the following ones.
-    ends = F.sequence(F.col("_cell") + 1, F.col("_cell") + F.lit(length // step))
-    spread = cells.withColumn("_end", F.explode(ends))
-    totals = spread.groupBy(*keys, "_end").agg(
+    cell_stats = [
+        F.count(F.lit(1)).alias("_count"),
+        F.sum(v).alias("_sum"),
+        F.sum(v.cast("float").cast("double")).alias("_fsum"),
+        F.count(v).alias("_present"),
+        F.min(v).alias("_min"),
+        F.max(v).alias("_max"),
+        F.count_if(v > threshold).alias("_over"),
+    ]
+    window_stats = [
         F.sum("_count").alias("sensorCount"),
         F.sum("_sum").alias("sensorSum"),
         (F.sum("_fsum") / F.nullif(F.sum("_present"), F.lit(0))).alias("sensorAverage"),
         F.min("_min").alias("sensorMin"),
         F.max("_max").alias("sensorMax"),
         F.sum("_over").alias("sensorGreaterThan60"),
+    ]
+    if df.isStreaming:
+        cells = df.groupBy(*keys, F.window(time, slide).alias("_cell")).agg(*cell_stats)
+        totals = cells.groupBy(*keys, F.window("_cell", size, slide).alias("_w")).agg(*window_stats)
+        return totals.select(*keys, F.col("_w.end").alias(end), *STATS)
+
+    us = F.unix_micros(F.col(time).cast("timestamp"))
+    step_us = step * 1_000_000
+    cells = (
+        df.filter(F.col(time).isNotNull())
+        .groupBy(*keys, F.floor(us / F.lit(step_us)).alias("_cell")).agg(*cell_stats)
     )
+    # Ends of the windows that hold a cell: its own end and the following ones.
+    ends = F.sequence(F.col("_cell") + 1, F.col("_cell") + F.lit(length // step))
+    totals = cells.withColumn("_end", F.explode(ends)).groupBy(*keys, "_end").agg(*window_stats)
     return totals.select(*keys, F.timestamp_micros(F.col("_end") * step_us).alias(end), *STATS)
 
 

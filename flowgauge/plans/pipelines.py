@@ -48,20 +48,22 @@ def edge_to_topic(source: DataFrame, topic_filter: str, limit: float = 500, max_
 
 def enrich(source: DataFrame, health: PipelineModel | None = None, default_result: Column | None = None,
            schema=schemas.READING_WIRE) -> tuple[DataFrame, DataFrame]:
-    """Readings with a health flag, and unreadable records.
-
-    The flag comes from the model where there is one; otherwise from the
-    record's own response, with a default where that is missing.
-    """
+    """Topic records to readings with a health flag, and unreadable records."""
     good, bad = records.parse_or_quarantine(source, schema, required=["sensor_id", "sensor_ts"])
+    return with_health(good, health, default_result), bad
+
+
+def with_health(rows: DataFrame, health: PipelineModel | None = None,
+                default_result: Column | None = None) -> DataFrame:
+    """Health flag from the model where there is one, else from the record's own response or a default."""
     if health is not None:
-        numbered = good.withColumns({str(i): F.col(c).cast("double") for i, c in enumerate(schemas.SENSOR_COLUMNS)})
+        numbered = rows.withColumns({str(i): F.col(c).cast("double") for i, c in enumerate(schemas.SENSOR_COLUMNS)})
         scored = model.score(health, numbered, "_result").drop("p_healthy", *[str(i) for i in range(12)])
-        good = shape.insert_record(scored, "response", {"result": F.col("_result")}).drop("_result")
+        rows = shape.insert_record(scored, "response", {"result": F.col("_result")}).drop("_result")
     else:
         default = default_result if default_result is not None else text.stub_result(["sensor_id", "sensor_ts"])
-        good = shape.fill_nested(good, "response.result", default)
-    return shape.assign_path(good, "is_healthy", "response.result"), bad
+        rows = shape.fill_nested(rows, "response.result", default)
+    return shape.assign_path(rows, "is_healthy", "response.result")
 
 
 def reading_table_rows(enriched: DataFrame) -> DataFrame:
@@ -73,14 +75,21 @@ def enriched_sink(table_path: str, json_path: str, avro_path: str, failures: Sin
                   health: PipelineModel | None = None, default_result: Column | None = None) -> Sink:
     """Topic records to: keyed table, JSON topic folder, Avro folder, and quarantine, from one pass."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = enrich(batch, health, default_result)
-        store = keyed.upsert(table_path, schemas.TABLE_KEYS["sensors"], shape=reading_table_rows)
-        publish = sinks.file_batch(json_path, shape=lambda d: sinks.json_records(d, "iot_enriched"))
-        def avro(d: DataFrame, n: int) -> None:
-            sinks.write_avro(d, f"{avro_path}/batch_id={n}", schemas.READING_WIRE)
-        sinks.fan_out(store, publish, avro)(good, batch_id)
-        if failures:
-            failures(bad, batch_id)
+        parsed = records.parse_json(batch, schemas.READING_WIRE).persist()
+        try:
+            good, bad = records.split_parsed(parsed, ["sensor_id", "sensor_ts"])
+            sinks.fan_out(store, publish, avro)(with_health(good, health, default_result), batch_id)
+            if failures:
+                failures(bad, batch_id)
+        finally:
+            parsed.unpersist()
+
+    store = keyed.upsert(table_path, schemas.TABLE_KEYS["sensors"], shape=reading_table_rows)
+    publish = sinks.file_batch(json_path, shape=lambda d: sinks.json_records(d, "iot_enriched"))
+
+    def avro(d: DataFrame, n: int) -> None:
+        sinks.write_avro(d, f"{avro_path}/batch_id={n}", schemas.READING_WIRE)
+
     return write
 
 
@@ -151,8 +160,12 @@ def read_replica(spark, table_path: str) -> DataFrame | None:
 
 def train_and_choose(frame: DataFrame, path: str | None = None, seed: int = 0, settings=model.EXPERIMENTS, **options):
     """Split, try the settings, keep and save the best model; returns metrics and model."""
-    train, test = model.split_frame(frame, 0.7, seed)
-    return model.experiments(train, test, settings, path=path, **options)
+    train, test = (part.persist() for part in model.split_frame(frame, 0.7, seed))
+    try:
+        return model.experiments(train, test, settings, path=path, **options)
+    finally:
+        train.unpersist()
+        test.unpersist()
 
 
 def dashboard(rows: DataFrame, as_of: Column) -> dict[str, DataFrame]:

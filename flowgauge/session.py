@@ -27,6 +27,7 @@ def get_spark(app: str = "flowgauge", master: str | None = None, **conf) -> Spar
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:

@@ -20,12 +20,19 @@ def parse_json(df: DataFrame, schema: str | T.StructType, value: str = "value",
     Adds the struct ``out`` (null where the text is no JSON object) and, with
     ``keep_text``, the text in ``decoded``.
     """
-    text = decode_bytes(value) if dict(df.dtypes)[value] == "binary" else F.col(value)
+    names = [f.name for f in as_struct(schema)]
     marked = T.StructType(as_struct(schema).fields + [T.StructField("_bad", T.StringType())])
-    parsed = df.withColumn("decoded", text).withColumn(
-        out, F.from_json("decoded", marked, {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"}))
-    parsed = parsed.withColumn(out, F.when(F.col(f"{out}._bad").isNull(), F.col(out).dropFields("_bad")))
-    return parsed if keep_text else parsed.drop("decoded")
+    parsed = F.from_json("decoded", marked, {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
+    # The one-element explode keeps Spark from repeating the parse in every later filter and field.
+    rows = df.withColumn("decoded", _text(df, value)).withColumn("_parsed", F.explode(F.array(parsed)))
+    readable = F.col("_parsed").isNotNull() & F.col("_parsed._bad").isNull()
+    record = F.struct(*[F.col(f"_parsed.`{n}`").alias(n) for n in names])
+    rows = rows.withColumn(out, F.when(readable, record)).drop("_parsed")
+    return rows if keep_text else rows.drop("decoded")
+
+
+def _text(df: DataFrame, value: str) -> Column:
+    return decode_bytes(value) if dict(df.dtypes)[value] == "binary" else F.col(value)
 
 
 def parse_json_flat(df: DataFrame, schema: str | T.StructType, value: str = "value",
@@ -37,8 +44,7 @@ def parse_json_flat(df: DataFrame, schema: str | T.StructType, value: str = "val
 
 def parse_json_array(df: DataFrame, schema: str | T.StructType, value: str = "value", out: str = "data") -> DataFrame:
     """One row per record of a message that holds a JSON array or a single object."""
-    text = decode_bytes(value) if dict(df.dtypes)[value] == "binary" else F.col(value)
-    parsed = F.from_json(text, T.ArrayType(as_struct(schema)))
+    parsed = F.from_json(_text(df, value), T.ArrayType(as_struct(schema)))
     return df.withColumn(out, F.explode(parsed))
 
 
@@ -72,8 +78,7 @@ def detect_schema(df: DataFrame, value: str = "value", sample: float = 1.0, seed
 
     The sample is read on the executors; only the schema reaches the driver.
     """
-    text = decode_bytes(value) if dict(df.dtypes)[value] == "binary" else F.col(value)
-    lines = df.select(text.alias("v")).filter(F.col("v").isNotNull())
+    lines = df.select(_text(df, value).alias("v")).filter(F.col("v").isNotNull())
     if sample < 1.0:
         lines = lines.sample(sample, seed)
     return df.sparkSession.read.json(lines.rdd.map(lambda r: r[0])).schema
@@ -85,13 +90,17 @@ def split_valid_invalid(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame
     return df.filter(ok), df.filter(~ok)
 
 
-def parse_or_quarantine(df: DataFrame, schema: str | T.StructType, value: str = "value",
-                        required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Parsed rows, and unreadable records with the text and a reason."""
-    parsed = parse_json(df, schema, value)
+def split_parsed(parsed: DataFrame, required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Output of :func:`parse_json` as readable rows, and the other records with their text and a reason."""
     ok = F.col("data").isNotNull()
     for name in required:
         ok = ok & F.col(f"data.{name}").isNotNull()
     good, bad = split_valid_invalid(parsed, ok)
     reason = F.when(F.col("data").isNull(), F.lit("unreadable")).otherwise(F.lit("missing field"))
     return good.select("data.*"), bad.select("decoded", reason.alias("reason"))
+
+
+def parse_or_quarantine(df: DataFrame, schema: str | T.StructType, value: str = "value",
+                        required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Parsed rows, and unreadable records with the text and a reason."""
+    return split_parsed(parse_json(df, schema, value), required)
