@@ -17,7 +17,7 @@ def _col(c: Column | str) -> Column:
 
 
 def floor_div(c: Column | str, n: int) -> Column:
-    """Integer division rounding down, exact for any bigint."""
+    """Integer division rounding down; no detour over doubles."""
     c, n = _col(c), F.lit(n).cast("bigint")
     return F.call_function("div", c - F.pmod(c, n), n)
 

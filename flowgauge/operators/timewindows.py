@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.epoch import interval_seconds
+from ..functions.epoch import epoch_us, floor_div, interval_seconds
 
 STATS = ["sensorCount", "sensorSum", "sensorAverage", "sensorMin", "sensorMax", "sensorGreaterThan60"]
 
@@ -68,11 +68,10 @@ def sliding_stats(
         totals = cells.groupBy(*keys, F.window("_cell", size, slide).alias("_w")).agg(*window_stats)
         return totals.select(*keys, F.col("_w.end").alias(end), *STATS)
 
-    us = F.unix_micros(F.col(time).cast("timestamp"))
     step_us = step * 1_000_000
     cells = (
         df.filter(F.col(time).isNotNull())
-        .groupBy(*keys, F.floor(us / F.lit(step_us)).alias("_cell")).agg(*cell_stats)
+        .groupBy(*keys, floor_div(epoch_us(time), step_us).alias("_cell")).agg(*cell_stats)
     )
     # Ends of the windows that hold a cell: its own end and the following ones.
     ends = F.sequence(F.col("_cell") + 1, F.col("_cell") + F.lit(length // step))

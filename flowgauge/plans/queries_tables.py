@@ -384,6 +384,48 @@ def jon06_stream(spark, sf):
     return shown(_collected(joins.frauds(payments, _customers(spark, sf)), "jon06"))
 
 
+@query("jon06_frauds_stream_salted", with_(TRANSACTIONS, CUSTOMERS, FRAUDS) + "SELECT * FROM frauds")
+def jon06_salted(spark, sf):
+    payments = inputs.transactions(_event_stream(spark, sf))
+    return shown(_collected(joins.frauds(payments, _customers(spark, sf), salts=4), "jon06-salted"))
+
+
+def _halves(df: DataFrame, time) -> tuple[DataFrame, DataFrame]:
+    early = time < F.lit("2024-01-15 00:00:00").cast("timestamp")
+    return df.filter(early), df.filter(~early)
+
+
+@query("str12_resume_from_checkpoint", with_(READINGS) + "SELECT sensor_id, reading_id, sensor_6 FROM readings")
+def str12(spark, sf):
+    source, out, checkpoint = (new_folder(spark, n) for n in ("resume-in", "resume-out", "resume-checkpoint"))
+    rows = _readings(spark, sf).select("sensor_id", "reading_id", "sensor_6", "event_time")
+    for part in _halves(rows, F.col("event_time")):
+        part.drop("event_time").write.mode("append").parquet(source)
+        stream = readers.read_folder(spark, source, part.drop("event_time").schema, stream=True)
+        jobs.run_available(stream, "str12", path=out, checkpoint=checkpoint)
+    return spark.read.parquet(out)
+
+
+@query("str18_update_mode", with_(READINGS) + """
+SELECT sensor_id, CAST(sum(sensor_0) AS BIGINT) AS total FROM readings GROUP BY sensor_id""")
+def str18(spark, sf):
+    path = new_folder(spark, "sums")
+    sums = inputs.readings(_event_stream(spark, sf)).groupBy("sensor_id").agg(F.sum("sensor_0").alias("total"))
+    jobs.run_available(sums, "str18", mode="update", each_batch=keyed.upsert(path, ["sensor_id"], ["total"]))
+    return keyed.read_keyed(spark, path, ["sensor_id"])
+
+
+@query("cdc06_resume_replica", with_(CHANGES, NEW) + "SELECT id, name FROM new_state")
+def cdc06(spark, sf):
+    source, replica, checkpoint = (new_folder(spark, n) for n in ("cdc-in", "cdc-replica", "cdc-checkpoint"))
+    rows = _changes(spark, sf)
+    for part in _halves(rows, F.timestamp_micros("ts")):
+        part.write.mode("append").parquet(source)
+        stream = readers.read_folder(spark, source, rows.schema, stream=True)
+        jobs.run_available(stream, "cdc06", each_batch=pipelines.replica_sink(replica), checkpoint=checkpoint)
+    return pipelines.read_replica(spark, replica)
+
+
 @query("cdc02_replica_stream", with_(CHANGES, NEW) + "SELECT id, name FROM new_state")
 def cdc02_stream(spark, sf):
     path = new_folder(spark, "replica")

@@ -55,8 +55,10 @@ def read_topic(spark: SparkSession, provider: str | dict, topic: str, *, pattern
                start: str = "latest", stream: bool = True, max_per_batch: int | None = None) -> DataFrame:
     """Records of a topic (or of all topics matching a pattern) in Kafka's columns.
 
-    For file providers ``start`` may be ``earliest`` or a timestamp text: only
-    files modified after it are read; ``latest`` reads files modified after now.
+    For file providers ``start`` may also be a timestamp text: only files
+    modified since then are read, and ``latest`` stands for the present moment.
+    A job that is to be resumed passes the moment of its first start, so that
+    files that came while it was stopped are not taken for old ones.
     """
     settings = get_provider(provider) if isinstance(provider, str) else provider
     reader = spark.readStream if stream else spark.read
@@ -67,11 +69,10 @@ def read_topic(spark: SparkSession, provider: str | dict, topic: str, *, pattern
     reader = reader.schema(schemas.TOPIC_RECORD)
     if stream and max_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_per_batch)
-    if not stream and start not in ("earliest", "latest"):
-        reader = reader.option("modifiedAfter", start)
     records = reader.parquet(settings["path"])
-    if stream and start == "latest":
-        records = records.filter(F.col("_metadata.file_modification_time") >= F.lit(now_text(spark)).cast("timestamp"))
+    if start != "earliest" and (stream or start != "latest"):
+        since = now_text(spark) if start == "latest" else start
+        records = records.filter(F.col("_metadata.file_modification_time") >= F.lit(since).cast("timestamp"))
     return records.filter(topic_matches("topic", topic if pattern else None, None if pattern else topic))
 
 

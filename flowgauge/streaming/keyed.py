@@ -27,12 +27,17 @@ def _folders(spark: SparkSession, path: str, prefix: str) -> dict[int, str]:
     found = {}
     for status in fs.listStatus(root):
         folder = status.getPath()
-        done = fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
-        if folder.getName().startswith(prefix) and done:
+        if folder.getName().startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
             found[int(folder.getName()[len(prefix):])] = folder.toString()
     return found
 
 
+def _delete(spark: SparkSession, folders: Sequence[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int = HASH_PARTITIONS) -> DataFrame:
     """Hash partition of the key as column ``bucket``."""
     return df.withColumn("bucket", F.pmod(F.hash(*keys), F.lit(buckets)))
@@ -124,9 +129,12 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence
 
     Deleted keys stay marked, so that an older change arriving later does not
     bring them back, until the condition ``forget_deleted`` holds for them.
+    The base before this one and the changes since then are kept, for a batch
+    that is repeated; what is older is removed.
     """
     done = _folders(spark, f"{path}/changes", "batch_id=")
-    upto, _ = _base(spark, path, None)
+    bases = _folders(spark, f"{path}/base", "upto=")
+    upto = max(bases, default=-1)
     newest = max(done, default=-1)
     if newest <= upto:
         return
@@ -136,6 +144,7 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence
     if forget_deleted is not None:
         rows = rows.filter(~(F.col("_deleted") & F.coalesce(forget_deleted, F.lit(False))))
     rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/base/upto={newest}")
+    _delete(spark, [f for n, f in bases.items() if n < upto] + [f for n, f in done.items() if n <= upto])
 
 
 def upsert(path: str, keys: Sequence[str], order: Sequence[str] = (), buckets: int = HASH_PARTITIONS,

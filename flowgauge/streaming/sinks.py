@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..functions.epoch import epoch_us, floor_div
 from ..sources.schemas import struct_to_avsc
 
 
@@ -115,7 +116,7 @@ def preview(df: DataFrame, time: str, every_ms: int, order: Sequence[str] = ())
     """
     if every_ms == 0:
         return df
-    slot = F.floor(F.unix_micros(F.col(time).cast("timestamp")) / F.lit(every_ms * 1000))
+    slot = floor_div(epoch_us(time), every_ms * 1000)
     if df.isStreaming:
         return df.withColumn("_slot", slot).dropDuplicatesWithinWatermark(["_slot"]).drop("_slot")
     first = F.min_by(F.struct(*df.columns), F.struct(time, *order))

@@ -137,7 +137,8 @@ def monitor_inactivity(df: DataFrame, threshold: int = 45, time: str = "event_ti
     ``inactive`` when nothing came for ``threshold`` seconds, again for each
     further ``threshold`` seconds, and ``restored`` when records come again.
     Each task first folds its rows to the ends of time cells, so only those
-    reach the state of a monitor.
+    reach the state of a monitor; how many at a time is bounded by the size of
+    a micro-batch.  For stored data use ``ordered.inactivity_gaps``.
     """
     step = threshold * 1_000_000
     monitor = F.col(key).cast("string") if key else F.lit("all")

@@ -46,6 +46,18 @@ def test_compaction_changes_nothing(spark, folder, order):
     keyed.compact(spark, folder, ["k"], order)
 
 
+def test_compaction_keeps_what_a_repeated_batch_needs(spark, folder):
+    for n in range(7):
+        write(spark, folder, n, [("a", n, n), (f"k{n}", n, n)])
+        if n in (1, 3, 5):
+            keyed.compact(spark, folder, ["k"])
+    assert sorted(keyed._folders(spark, f"{folder}/base", "upto=")) == [3, 5]
+    assert sorted(keyed._folders(spark, f"{folder}/changes", "batch_id=")) == [4, 5, 6]
+    before = {r["k"]: r["v"] for r in keyed.read_keyed(spark, folder, ["k"], before=5).collect()}
+    assert before == {"a": 4, "k0": 0, "k1": 1, "k2": 2, "k3": 3, "k4": 4}
+    assert state(spark, folder)["a"] == 6 and len(state(spark, folder)) == 8
+
+
 def test_state_before_a_batch(spark, folder):
     write(spark, folder, 0, [("a", 1, 1)])
     write(spark, folder, 1, [("a", 2, 2)])
