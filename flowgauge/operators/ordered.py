@@ -8,9 +8,9 @@ totals.  Results equal the plain window for any cut.
 
 The hot keys and their cells are found with pre-aggregated passes that read
 only the key and time columns.  There are fewer than ``rows / hot_rows`` hot
-keys, with together fewer than ``(CELLS_PER_HOT_SHARE + 1) * rows / hot_rows``
+keys, with together fewer than ``CUTS * (CELLS_PER_HOT_SHARE + 1) * rows / hot_rows``
 cells.  That bounds the two broadcasts: at the default, 10^12 rows give at most
-200,000 keys and 1.8 million cells of some 40 bytes.  Raise ``hot_rows`` with
+200,000 keys and 5.4 million cells of some 40 bytes.  Raise ``hot_rows`` with
 the data if they should stay smaller.
 """
 
@@ -25,6 +25,10 @@ from ..functions.epoch import epoch_us, floor_div
 
 HOT_ROWS = 5_000_000
 CELLS_PER_HOT_SHARE = 8
+# A cell that is still too full is cut again; one with a single time is cut by id.
+CUTS = 3
+CELLS_PER_CUT = 1 << 20
+_NO_TIME = -(1 << 61)  # rows without a time come first
 
 
 def _same(keys: Sequence[str]) -> Column:
@@ -36,27 +40,43 @@ def _prefixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumnsRenamed({k: f"_{k}" for k in keys})
 
 
-def with_cells(df: DataFrame, keys: Sequence[str], time: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_cell``: 0 for ordinary keys, a time cell 0, 1, 2, … for rows of hot keys.
+def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add ``_cell``: 0 for ordinary keys, else numbers that rise with the order of the key's rows.
 
-    ``time`` is a bigint column.
+    ``order`` starts with a bigint time; a second bigint column is used to cut
+    rows of one time.  ``_hot`` marks the rows of hot keys.
     """
-    spread = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(time).alias("_from"), F.max(time).alias("_to"))
+    rows = df.withColumns({"_cell": F.lit(0).cast("bigint"), "_full": F.lit(True)})
+    for cut in range(CUTS):
+        rows = _cut(rows, [*keys, "_cell"], order, hot_rows)
+        if cut == 0:
+            rows = rows.withColumn("_hot", F.col("_full"))
+    return rows.drop("_full")
+
+
+def _cut(rows: DataFrame, groups: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
+    """Cut the groups of more than ``hot_rows`` rows into parts of equal width in time (or id)."""
+    time = F.coalesce(F.col(order[0]), F.lit(_NO_TIME))
+    has_id = len(order) > 1 and dict(rows.dtypes)[order[1]] in ("bigint", "int")
+    number = F.col(order[1]).cast("bigint") if has_id else time
+    full = (
+        rows.filter("_full").groupBy(*groups)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(time).alias("_t0"), F.max(time).alias("_t1"),
+             F.min(number).alias("_n0"), F.max(number).alias("_n1"))
         .filter(F.col("_rows") > hot_rows)
     )
-    count = F.floor(F.col("_rows") * CELLS_PER_HOT_SHARE / hot_rows) + 1
-    width = F.floor((F.col("_to") - F.col("_from")) / count) + 1
-    hot = F.broadcast(_prefixed(spread.withColumn("_width", width).select(*keys, "_from", "_width"), keys))
-    # A row without a time sorts first, so it belongs to the first cell.
-    cell = F.when(F.col("_width").isNotNull(),
-                  F.coalesce(F.call_function("div", F.col(time) - F.col("_from"), F.col("_width")), F.lit(0)))
+    parts = F.least(F.floor(F.col("_rows") * CELLS_PER_HOT_SHARE / hot_rows) + 1, F.lit(CELLS_PER_CUT))
+    by_time = F.col("_t0") < F.col("_t1")
+    low, high = F.when(by_time, F.col("_t0")).otherwise(F.col("_n0")), F.when(by_time, F.col("_t1")).otherwise(F.col("_n1"))
+    full = full.select(*groups, by_time.alias("_by_time"), low.alias("_from"),
+                       (F.floor((high - low) / parts) + 1).alias("_width"))
+    full = F.broadcast(_prefixed(full, groups))
+    at = F.when(F.col("_by_time"), time).otherwise(number) - F.col("_from")
+    part = F.coalesce(F.call_function("div", at, F.col("_width")), F.lit(0))
     return (
-        df.join(hot, _same(keys), "left")
-        .withColumn("_cell", F.coalesce(cell, F.lit(0)).cast("bigint"))
-        .withColumn("_hot", F.col("_width").isNotNull())
-        .drop("_from", "_width", *[f"_{k}" for k in keys])
+        rows.drop("_full").join(full, _same(groups), "left")
+        .withColumns({"_cell": F.col("_cell") * CELLS_PER_CUT + part, "_full": F.col("_width").isNotNull()})
+        .drop("_by_time", "_from", "_width", *[f"_{g}" for g in groups])
     )
 
 
@@ -70,7 +90,7 @@ def _cell_totals_before(rows: DataFrame, keys: Sequence[str], total: Column) ->
 
 def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot_rows: int,
              in_cell: Column, cell_total: Column) -> DataFrame:
-    rows = with_cells(df, keys, order[0], hot_rows)
+    rows = with_cells(df, keys, order, hot_rows)
     before = _cell_totals_before(rows, keys, cell_total)
     so_far = (
         Window.partitionBy(*keys, "_cell").orderBy(*order)

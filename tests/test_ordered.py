@@ -67,12 +67,23 @@ def test_incomplete_count_window_is_left_out(spark, n, windows):
 
 def test_hot_key_is_cut_into_cells(spark):
     df = spark.createDataFrame([("hot", i, i, 1) for i in range(1000)] + [("a", i, i, 1) for i in range(5)], SCHEMA)
-    cells = ordered.with_cells(df, ["k"], "t", hot_rows=100).groupBy("k", "_cell").count().collect()
+    cells = ordered.with_cells(df, ["k"], ["t", "id"], hot_rows=100).groupBy("k", "_cell").count().collect()
     hot = [r["count"] for r in cells if r["k"] == "hot"]
     assert len(hot) > 50 and max(hot) <= 20
     assert [r["count"] for r in cells if r["k"] == "a"] == [5]
 
 
+def test_burst_and_equal_times_of_a_hot_key_are_cut_too(spark):
+    burst = [("hot", 1_000_000 + i, i, 1) for i in range(1000)]
+    equal = [("hot", 5_000_000, 1000 + i, 1) for i in range(1000)]
+    df = spark.createDataFrame([("hot", 0, -1, 1), *burst, *equal, ("hot", 10**9, 5000, 1)], SCHEMA)
+    cells = ordered.with_cells(df, ["k"], ["t", "id"], hot_rows=100).groupBy("_cell").count()
+    assert cells.agg({"count": "max"}).first()[0] <= 100
+    got = ordered.position(df, ["k"], ["t", "id"], hot_rows=100).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(1, 2003))
+    assert [(r["t"], r["id"]) for r in got] == sorted((r["t"], r["id"]) for r in got)
+
+
 def test_null_time_sorts_first(spark):
     data = [("a", None, 1, 5), ("a", 3, 2, 1), ("a", 9, 3, 1), ("a", 4, 4, 1)]
     df = spark.createDataFrame(data, SCHEMA)
