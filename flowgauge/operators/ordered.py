@@ -6,12 +6,11 @@ than ``hot_rows`` rows) are cut into time cells of that key; each cell is
 ordered on its own, and what came before it is added from a table of cell
 totals.  Results equal the plain window for any cut.
 
-The hot keys and their cells are found with pre-aggregated passes that read
-only the key and time columns.  There are fewer than ``rows / hot_rows`` hot
-keys, with together fewer than ``CUTS * (CELLS_PER_HOT_SHARE + 1) * rows / hot_rows``
-cells.  That bounds the two broadcasts: at the default, 10^12 rows give at most
-200,000 keys and 5.4 million cells of some 40 bytes.  Raise ``hot_rows`` with
-the data if they should stay smaller.
+The hot keys are found with a pre-aggregated pass over the key and time
+columns; the few rows it gives are written to the shared folder.  Without a hot
+key the plain window follows.  There are fewer than ``rows / hot_rows`` hot
+keys with some ``CELLS_PER_HOT_SHARE`` cells for each ``hot_rows`` rows, and
+both tables are counted before they are broadcast.
 """
 
 from __future__ import annotations
@@ -22,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.epoch import epoch_us, floor_div
+from ..session import broadcast_if_small, written
 
 HOT_ROWS = 5_000_000
 CELLS_PER_HOT_SHARE = 8
@@ -40,37 +40,50 @@ def _prefixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumnsRenamed({k: f"_{k}" for k in keys})
 
 
-def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+               hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Add ``_cell``: 0 for ordinary keys, else numbers that rise with the order of the key's rows.
 
     ``order`` starts with a bigint time; a second bigint column is used to cut
-    rows of one time.  ``_hot`` marks the rows of hot keys.
+    rows of one time.  ``_hot`` marks the rows of hot keys.  ``None`` where no
+    key is hot.
     """
     rows = df.withColumns({"_cell": F.lit(0).cast("bigint"), "_full": F.lit(True)})
     for cut in range(CUTS):
-        rows = _cut(rows, [*keys, "_cell"], order, hot_rows)
+        groups = [*keys, "_cell"]
+        full, found = broadcast_if_small(written(_full_groups(rows, groups, order, hot_rows), "hot-groups"))
+        if not found:
+            break
+        rows = _cut(rows, full, groups, order)
         if cut == 0:
             rows = rows.withColumn("_hot", F.col("_full"))
-    return rows.drop("_full")
+    return rows.drop("_full") if "_hot" in rows.columns else None
 
 
-def _cut(rows: DataFrame, groups: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
-    """Cut the groups of more than ``hot_rows`` rows into parts of equal width in time (or id)."""
+def _time_and_number(rows: DataFrame, order: Sequence[str]) -> tuple[Column, Column]:
     time = F.coalesce(F.col(order[0]), F.lit(_NO_TIME))
     has_id = len(order) > 1 and dict(rows.dtypes)[order[1]] in ("bigint", "int")
-    number = F.col(order[1]).cast("bigint") if has_id else time
+    return time, F.col(order[1]).cast("bigint") if has_id else time
+
+
+def _full_groups(rows: DataFrame, groups: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
+    """Groups of more than ``hot_rows`` rows, and how to cut them into parts of equal width in time (or id)."""
+    time, number = _time_and_number(rows, order)
     full = (
         rows.filter("_full").groupBy(*groups)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min(time).alias("_t0"), F.max(time).alias("_t1"),
              F.min(number).alias("_n0"), F.max(number).alias("_n1"))
         .filter(F.col("_rows") > hot_rows)
     )
-    parts = F.least(F.floor(F.col("_rows") * CELLS_PER_HOT_SHARE / hot_rows) + 1, F.lit(CELLS_PER_CUT))
+    parts = F.least(floor_div(F.col("_rows") * CELLS_PER_HOT_SHARE, hot_rows) + 1, F.lit(CELLS_PER_CUT).cast("bigint"))
     by_time = F.col("_t0") < F.col("_t1")
     low, high = F.when(by_time, F.col("_t0")).otherwise(F.col("_n0")), F.when(by_time, F.col("_t1")).otherwise(F.col("_n1"))
-    full = full.select(*groups, by_time.alias("_by_time"), low.alias("_from"),
-                       (F.floor((high - low) / parts) + 1).alias("_width"))
-    full = F.broadcast(_prefixed(full, groups))
+    return _prefixed(full.select(*groups, by_time.alias("_by_time"), low.alias("_from"),
+                                 (F.call_function("div", high - low, parts) + 1).alias("_width")), groups)
+
+
+def _cut(rows: DataFrame, full: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
+    time, number = _time_and_number(rows, order)
     at = F.when(F.col("_by_time"), time).otherwise(number) - F.col("_from")
     part = F.coalesce(F.call_function("div", at, F.col("_width")), F.lit(0))
     return (
@@ -85,20 +98,19 @@ def _cell_totals_before(rows: DataFrame, keys: Sequence[str], total: Column) ->
     cells = rows.filter("_hot").groupBy(*keys, "_cell").agg(total.alias("_total"))
     earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     before = cells.withColumn("_before", F.sum("_total").over(earlier)).drop("_total")
-    return F.broadcast(_prefixed(before, [*keys, "_cell"]))
+    return broadcast_if_small(written(_prefixed(before, [*keys, "_cell"]), "cell-totals"))[0]
 
 
-def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot_rows: int,
-             in_cell: Column, cell_total: Column) -> DataFrame:
+def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot_rows: int, total: Column) -> DataFrame:
+    frame = lambda w: w.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = with_cells(df, keys, order, hot_rows)
-    before = _cell_totals_before(rows, keys, cell_total)
-    so_far = (
-        Window.partitionBy(*keys, "_cell").orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    if rows is None:
+        return df.withColumn(out, total.over(frame(Window.partitionBy(*keys))))
+    before = _cell_totals_before(rows, keys, total)
+    in_cell = total.over(frame(Window.partitionBy(*keys, "_cell")))
     return (
         rows.join(before, _same([*keys, "_cell"]), "left")
-        .withColumn(out, in_cell.over(so_far) + F.coalesce(F.col("_before"), F.lit(0)))
+        .withColumn(out, in_cell + F.coalesce(F.col("_before"), F.lit(0)))
         .drop("_before", "_hot", "_cell", "__cell", *[f"_{k}" for k in keys])
     )
 
@@ -106,14 +118,14 @@ def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
 def position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position",
              hot_rows: int = HOT_ROWS) -> DataFrame:
     """1, 2, 3, … inside each key; ``order`` starts with a bigint time and ends with a unique id."""
-    return _running(df, keys, order, out, hot_rows, F.count(F.lit(1)), F.count(F.lit(1)))
+    return _running(df, keys, order, out, hot_rows, F.count(F.lit(1)))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
                 out: str = "running_sum", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Sum of ``value`` up to and including each row, inside each key."""
     zeroed = df.withColumn("_value", F.coalesce(F.col(value), F.lit(0)))
-    return _running(zeroed, keys, order, out, hot_rows, F.sum("_value"), F.sum("_value")).drop("_value")
+    return _running(zeroed, keys, order, out, hot_rows, F.sum("_value")).drop("_value")
 
 
 def count_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, size: int = 3,
@@ -129,13 +141,27 @@ def count_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
 
 def fold_count_windows(numbered: DataFrame, keys: Sequence[str], value: str, size: int,
                        carry: Sequence[str]) -> DataFrame:
-    window_no = F.call_function("div", F.col("_position") - 1, F.lit(size).cast("bigint"))
-    best = F.max_by(F.struct(*[F.col(c) for c in (value, *carry)]),
-                    F.struct(F.col(value), -F.col("_position")))
+    """Windows of :func:`count_windows` from rows that carry their ``_position``."""
+    size_ = F.lit(size).cast("bigint")
+    window_no = F.call_function("div", F.col("_position") - 1, size_)
+    fields = [value, *[c for c in carry if c != value]]
+    if size <= 16:
+        # One aggregate per place in the window: plain values, so Spark aggregates by hash.
+        place = F.pmod(F.col("_position") - 1, size_)
+        picks = [F.max(F.when(place == i, F.col(c))).alias(f"_{i}_{c}") for i in range(size) for c in fields]
+        rows = F.array(*[
+            F.struct(F.col(f"_{i}_{value}").alias(value), F.lit(-i).alias("_place"),
+                     *[F.col(f"_{i}_{c}").alias(c) for c in fields[1:]])
+            for i in range(size)])
+        best = F.array_max(rows)
+    else:
+        picks = [F.max_by(F.struct(*fields), F.struct(F.col(value), -F.col("_position"))).alias("_best")]
+        best = F.col("_best")
     windows = (
         numbered.groupBy(*keys, window_no.alias("window_no"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("sum_value"), best.alias("_best"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("sum_value"), *picks)
         .filter(F.col("_n") == size)
+        .select(*keys, "window_no", "sum_value", best.alias("_best"))
     )
     return windows.select(*keys, "window_no", "sum_value", F.col(f"_best.{value}").alias("max_value"),
                           *[F.col(f"_best.{c}").alias(f"max_{c}") for c in carry])

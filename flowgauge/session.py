@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _local_folders: dict[str, str] = {}
 
@@ -53,6 +53,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, and still there if executors are lost."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> tuple[DataFrame, int]:
+    """A written table with a broadcast hint if it has few rows, and its number of rows."""
+    rows = df.count()
+    return (F.broadcast(df) if rows <= max_rows else df), rows
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/flowgauge/{name}-{uuid.uuid4().hex}"

@@ -29,11 +29,12 @@ def count_window_sink(path: str, keys: Sequence[str], order: Sequence[str], valu
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.persist()
+        held = [rows]
         try:
             state = read_keyed(spark, state_path, keys, before=batch_id)
             placed = position(rows, keys, order, "_position", hot_rows).select(*keys, *fields, "_position")
             if state is None:
-                waiting, all_rows = None, placed.withColumn("_seen", F.lit(0).cast("bigint"))
+                all_rows = placed.withColumn("_seen", F.lit(0).cast("bigint"))
             else:
                 touched = rows.select(*keys).distinct()
                 known = state.join(touched, list(keys), "left_semi")
@@ -46,6 +47,8 @@ def count_window_sink(path: str, keys: Sequence[str], order: Sequence[str], valu
                     (F.col("seen") - F.pmod(F.col("seen"), F.lit(size)) + F.col("_i") + 1).alias("_position"),
                     F.col("seen").alias("_seen"))
                 all_rows = new.unionByName(waiting)
+            all_rows = all_rows.persist()
+            held.append(all_rows)
             windows = fold_count_windows(all_rows, keys, value, size, carry)
             windows.write.mode("overwrite").parquet(f"{path}/windows/batch_id={batch_id}")
 
@@ -60,7 +63,8 @@ def count_window_sink(path: str, keys: Sequence[str], order: Sequence[str], valu
             if batch_id and batch_id % compact_every == 0:
                 compact(spark, state_path, keys)
         finally:
-            rows.unpersist()
+            for frame in held:
+                frame.unpersist()
 
     return write
 

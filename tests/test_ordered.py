@@ -46,14 +46,14 @@ def test_position_and_running_sum(spark, seed, hot_rows):
     assert {r["id"]: r["running_sum"] for r in got.collect()} == sums
 
 
-@pytest.mark.parametrize("hot_rows", [5, 10**6])
-def test_count_windows(spark, hot_rows):
+@pytest.mark.parametrize("hot_rows, size", [(5, 3), (10**6, 3), (10**6, 20)])
+def test_count_windows(spark, hot_rows, size):
     data = rows(3)
-    got = ordered.count_windows(spark.createDataFrame(data, SCHEMA), ["k"], ["t", "id"], "v", 3, ["id"], hot_rows)
+    got = ordered.count_windows(spark.createDataFrame(data, SCHEMA), ["k"], ["t", "id"], "v", size, ["id"], hot_rows)
     expected = set()
     for k, g in by_key(data).items():
-        for w in range(len(g) // 3):
-            part = g[3 * w: 3 * w + 3]
+        for w in range(len(g) // size):
+            part = g[size * w: size * w + size]
             best = max(part, key=lambda r: r[3])  # the first on ties
             expected.add((k, w, sum(r[3] for r in part), best[3], best[2]))
     assert {tuple(r) for r in got.collect()} == expected
