@@ -74,14 +74,25 @@ def read_as_newest(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def detect_schema(df: DataFrame, value: str = "value", sample: float = 1.0, seed: int = 1) -> T.StructType:
-    """Schema found in a sample of JSON texts.
-
-    The sample is read on the executors; only the schema reaches the driver.
-    """
-    lines = df.select(_text(df, value).alias("v")).filter(F.col("v").isNotNull())
+    """Schema that fits a sample of JSON texts, merged by an aggregate; only the schema reaches the driver."""
+    texts = df.select(_text(df, value).alias("v"))
     if sample < 1.0:
-        lines = lines.sample(sample, seed)
-    return df.sparkSession.read.json(lines.rdd.map(lambda r: r[0])).schema
+        texts = texts.sample(sample, seed)
+    found = texts.agg(F.schema_of_variant_agg(F.try_parse_json("v")).alias("s")).first()["s"]
+    return _plain_type(T.DataType.fromDDL(found.replace("OBJECT<", "STRUCT<")))
+
+
+def _plain_type(dtype: T.DataType) -> T.DataType:
+    """Types a JSON reader gives: double for decimals, string where nothing or no one type was seen."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _plain_type(f.dataType)) for f in dtype])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_plain_type(dtype.elementType))
+    if isinstance(dtype, T.DecimalType):
+        return T.DoubleType()
+    if isinstance(dtype, (T.NullType, T.VariantType)):
+        return T.StringType()
+    return dtype
 
 
 def split_valid_invalid(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:

@@ -47,6 +47,11 @@ def test_detect_schema_of_a_sample(spark):
     assert got.simpleString() == "struct<a:bigint,b:struct<c:string>,d:double>"
 
 
+def test_detect_schema_merges_and_skips_bad_texts(spark):
+    df = texts(spark, '{"a": 1, "e": null}', '{"a": 2.5, "c": [1, 2]}', "no json", '{"b": true, "a": 3, "m": 1}', '{"m": "x"}', None)
+    assert records.detect_schema(df).simpleString() == "struct<a:double,b:boolean,c:array<bigint>,e:string,m:string>"
+
+
 def test_newer_schema_reads_older_rows(spark):
     old = spark.createDataFrame([(1,)], "a int")
     new = spark.createDataFrame([(2, "x")], "a int, city string")
