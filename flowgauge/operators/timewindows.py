@@ -83,7 +83,7 @@ def tumbling_sum(df: DataFrame, keys: Sequence[str] = ("sensor_id",), value: str
                  time: str | None = "event_time", size: str = "10 seconds") -> DataFrame:
     """Sum per key and window; ``time=None`` takes the processing time."""
     if time is None:
-        df, time = df.withColumn("_now", F.current_timestamp()), "_now"
+        df, time = with_event_time(df, F.current_timestamp(), "0 seconds", "_now"), "_now"
     return (
         df.groupBy(*keys, F.window(time, size).alias("_w")).agg(F.sum(value).alias("total"))
         .select(*keys, F.col("_w.end").alias("windowEnd"), "total")

@@ -130,7 +130,8 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence
     Deleted keys stay marked, so that an older change arriving later does not
     bring them back, until the condition ``forget_deleted`` holds for them.
     The base before this one and the changes since then are kept, for a batch
-    that is repeated; what is older is removed.
+    that is repeated; what is older is removed.  The whole table is written
+    anew, so a large one is compacted seldom.
     """
     done = _folders(spark, f"{path}/changes", "batch_id=")
     bases = _folders(spark, f"{path}/base", "upto=")

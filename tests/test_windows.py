@@ -85,3 +85,13 @@ def test_row_behind_the_watermark_is_dropped(spark, folder):
 def test_processing_time_window(spark):
     df = frame(spark, [(1, 0, 4, 1, 1), (1, 1, 5, 1, 1)])
     assert timewindows.tumbling_sum(df, time=None).agg(F.sum("total")).first()[0] == 9
+
+
+def test_processing_time_window_of_a_stream(spark, folder):
+    feed = Feed(spark, folder, SCHEMA).add(frame(spark, [(1, 0, 4, 1, 1), (1, 1, 5, 1, 1)]))
+    feed.add(frame(spark, [(1, 0, 6, 1, 1)]))
+    last = {}
+    jobs.run_available(
+        timewindows.tumbling_sum(feed.stream(), time=None, size="1 day"), "now", mode="update",
+        each_batch=lambda b, n: last.update({(r["sensor_id"], r["windowEnd"]): r["total"] for r in b.collect()}))
+    assert sum(last.values()) == 15
