@@ -15,8 +15,7 @@ def spark():
     session = get_spark("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4",
         "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
-        "spark.checkpoint.dir": f"/tmp/flowgauge-tests-{os.getpid()}"})
+            "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
@@ -31,4 +30,4 @@ def sf():
 def folder(spark):
     from flowgauge.session import new_folder
 
-    return new_folder(spark, "case")
+    return new_folder(spark, "case").removeprefix("file://")
