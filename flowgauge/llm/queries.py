@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowgauge.llm import shards, token_counts
+from flowgauge.llm import fingerprints, shards, token_counts
 from flowgauge.llm.tables import table
 
 QUERIES = {}
@@ -25,3 +25,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shards(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
