@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowgauge.llm import fingerprints, shards, token_counts
+from flowgauge.llm import fingerprints, licences, shards, token_counts
 from flowgauge.llm.tables import table
 
 QUERIES = {}
@@ -30,3 +30,11 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"))
+
+
+SQL["op6_licences"] = licences.ORACLE
