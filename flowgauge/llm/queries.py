@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowgauge.llm import fingerprints, licences, shards, token_counts
+from flowgauge.llm import fingerprints, licences, shards, token_counts, toxicity
 from flowgauge.llm.tables import table
 
 QUERIES = {}
@@ -38,3 +38,9 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op6_licences"] = licences.ORACLE
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
