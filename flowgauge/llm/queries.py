@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowgauge.llm import fingerprints, licences, shards, token_counts, toxicity
+from flowgauge.llm import fingerprints, licences, personal_data, shards, token_counts, toxicity
 from flowgauge.llm.tables import table
 
 QUERIES = {}
@@ -44,3 +44,9 @@ SQL["op6_licences"] = licences.ORACLE
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.personal_data(docs, personal_data.fitted(docs))
