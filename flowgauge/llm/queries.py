@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowgauge.llm import fingerprints, licences, personal_data, shards, token_counts, toxicity
+from flowgauge.llm import fingerprints, licences, near_joins, personal_data, shards, token_counts, toxicity
 from flowgauge.llm.tables import table
 
 QUERIES = {}
@@ -50,3 +50,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return personal_data.personal_data(docs, personal_data.fitted(docs))
+
+
+@query
+def op8_near_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_joins.near_duplicates(table(spark, sf_dir, "documents"))
