@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowgauge.llm import fingerprints, licences, near_joins, personal_data, shards, token_counts, toxicity
+from flowgauge.llm import decontamination, fingerprints, licences, near_joins, personal_data, shards, token_counts, toxicity
 from flowgauge.llm.tables import table
 
 QUERIES = {}
@@ -55,3 +55,8 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_near_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_joins.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
