@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowgauge.llm import decontamination, fingerprints, licences, near_joins, personal_data, shards, token_counts, toxicity
+from flowgauge.llm import (
+    decontamination, fingerprints, licences, near_joins, personal_data, sentence_spans, shards, token_counts, toxicity)
 from flowgauge.llm.tables import table
 
 QUERIES = {}
@@ -60,3 +61,8 @@ def op8_near_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))

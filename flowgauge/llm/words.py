@@ -34,27 +34,44 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def _of_bytes(data: np.ndarray) -> np.ndarray:
+def _of_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first bytes of the words of some bytes."""
     up, down = _power_tables()
     edge = np.flatnonzero(np.diff(np.concatenate(([0], _IS_WORD[data].view(np.int8), [0]))))
     begin, end = edge[::2], edge[1::2]
     total = np.zeros(len(data) + 1, _U)
     np.cumsum(_VALUES[data] * up[: len(data)], out=total[1:])
-    return mixed((total[end] - total[begin]) * down[begin] + (end - begin).astype(_U))
+    return mixed((total[end] - total[begin]) * down[begin] + (end - begin).astype(_U)), begin
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of each word, in order."""
+def _of_text(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a text in lower case, and the hashes and first bytes of its words."""
     data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
-    out, begin = [], 0
+    hashes, places, begin = [np.empty(0, _U)], [np.empty(0, np.int64)], 0
     while begin < len(data):
         end = min(len(data), begin + CHUNK)
         if end < len(data):
             apart = np.flatnonzero(~_IS_WORD[data[begin:end]])
             end = begin + int(apart[-1]) + 1 if len(apart) else end
-        out.append(_of_bytes(data[begin:end]))
+        h, at = _of_bytes(data[begin:end])
+        hashes.append(h)
+        places.append(at + begin)
         begin = end
-    return np.concatenate(out) if out else np.empty(0, _U)
+    return data, np.concatenate(hashes), np.concatenate(places)
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of each word, in order."""
+    return _of_text(text)[1]
+
+
+def words_and_sentences(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word, and the number of sentence ends before it: stops before white space, and line ends."""
+    data, hashes, at = _of_text(text)
+    space = (data == 32) | ((data > 8) & (data < 14))
+    stop = (data == 46) | (data == 33) | (data == 63)
+    ends = np.flatnonzero((stop[:-1] & space[1:]) | (data[:-1] == 10)) if len(data) else np.empty(0, np.int64)
+    return hashes, np.searchsorted(ends, at)
 
 
 def runs(h: np.ndarray, width: int) -> np.ndarray:
