@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from flowgauge.llm import (
-    decontamination, fingerprints, licences, near_joins, personal_data, sentence_spans, shards, token_counts, toxicity)
+    decontamination, fingerprints, licences, near_joins, personal_data, pieces, sentence_spans, shards, token_counts,
+    toxicity)
 from flowgauge.llm.tables import table
 
 QUERIES = {}
@@ -66,3 +67,8 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
