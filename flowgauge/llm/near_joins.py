@@ -228,3 +228,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, tar
         "high", "low", F.coalesce("component", "id").alias("class_id"), F.col("id").alias("copy_id"),
         F.col("copies").alias("n_copies"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
     return signed.select(F.col("id").alias(id_column), "high", "low").join(classes, ["high", "low"]).drop("high", "low")
+
+
+def representatives(docs: DataFrame, threshold: float = 0.8, width: int = 5, target: float = 0.999,
+                    id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One document of each class: the one whose id is the class id, and of repeated rows one. Rows with a null id
+    stay, one of each text."""
+    classes = near_duplicates(docs, threshold, width, target, id_column, text_column)
+    chosen = kept(classes.where(F.col(id_column) == F.col("class_id")).groupBy(id_column).count(), "chosen")
+    once, more = (docs.join(chosen.where(rows).select(id_column), id_column, "left_semi") for rows in ("count = 1", "count > 1"))
+    loose = docs.where(F.col(id_column).isNull()).dropDuplicates([text_column])
+    return once.unionByName(more.dropDuplicates([id_column])).unionByName(loose).select(*docs.columns)

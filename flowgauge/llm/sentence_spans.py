@@ -112,9 +112,9 @@ def without(text: str, places: list[tuple[int, int]]) -> str:
 
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents with repeated spans removed from the text, and n_removed, the number of words that went."""
-    if {"n_removed", "_places"} & set(docs.columns):
-        raise ValueError("n_removed is taken")
+    """The documents with repeated spans removed from the text, and n_removed, the number of words that went (which
+    takes the place of a column of that name)."""
+    docs = docs.drop("n_removed", "_places")
     places = repeated_places(docs, id_column, text_column).groupBy(F.col("id").alias(id_column)).agg(
         F.collect_set(F.struct("a", "b")).alias("_places"))
     names = docs.columns

@@ -22,7 +22,6 @@ def scratch_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
