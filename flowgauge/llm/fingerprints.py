@@ -35,7 +35,7 @@ def let(value: Column, body) -> Column:
 
 def digests(text: Column) -> Column:
     """The distinct digests of a text's paragraphs."""
-    lines = F.transform(F.split(F.regexp_replace(text, _CUT, "$1\n"), "\n"), F.trim)
+    lines = F.transform(F.split(F.regexp_replace(text, _CUT, "$1\n"), "\n"), lambda x: F.trim(x))
     return F.array_distinct(F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.xxhash64(x)))
 
 
