@@ -39,7 +39,9 @@ _CORE = re.compile(r"[A-Za-z0-9+(].*[A-Za-z0-9)]|[A-Za-z0-9]", re.S)
 _PLAIN = re.compile(r"[\W_]+")
 ROUNDS = 10
 #: Where the weights of equal labels of linked words start from and are drawn to; few sampled texts repeat a word.
-CONSISTENCY = 3.0
+CONSISTENCY = 4.0
+#: What a pattern's span adds to its label: such words tell others, and are not told otherwise.
+OBSERVED = 12.0
 
 Span = tuple[int, int, int]  # start, place in KINDS, end
 
@@ -134,7 +136,7 @@ def graph(text: str) -> Graph:
         digits = _NOT_DIGITS.sub("", word)
         key = digits if len(digits) >= 4 and "@" not in word else _PLAIN.sub("", word).lower()
         if len(key) >= 3:
-            if key in last and last[key] != i - 1:
+            if key in last and not (last[key] == i - 1 and near[i - 1]):
                 skip.append((last[key], i))
             last[key] = i
     return Graph(found, [_features(*x) for x in zip(words, before, after)], chain, skip)
@@ -214,9 +216,12 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
     return (most + np.log(np.exp(x - most).sum(1, keepdims=True)))[:, 0]
 
 
-def marginals(graphs: list[Graph], model: Model) -> np.ndarray:
-    """Label probabilities of all words by loopy message passing."""
+def marginals(graphs: list[Graph], model: Model, observed: list[int] | None = None) -> np.ndarray:
+    """Label probabilities of all words by loopy message passing; ``observed`` has the labels that patterns gave."""
     node = _node_weights(graphs, model.ids, model.weights)[0]
+    if observed is not None:
+        at = np.flatnonzero(observed)
+        node[at, np.array(observed)[at]] += OBSERVED
     chain, skip, _ = _joined(graphs)
     source = np.concatenate([chain[:, 0], skip[:, 0], chain[:, 1], skip[:, 1]])
     target = np.concatenate([chain[:, 1], skip[:, 1], chain[:, 0], skip[:, 0]])
@@ -262,7 +267,7 @@ def found_in(texts: list[str], model: Model | None, certain: float = 0.9) -> lis
     added: list[list[Span]] = [[] for _ in texts]
     graphs = [(i, graph(x)) for i, x in enumerate(texts) if _SIGN.search(x)] if model else []
     if graphs:
-        p = marginals([g for _, g in graphs], model)
+        p = marginals([g for _, g in graphs], model, [k for i, g in graphs for k in labels(g, base[i])])
         begin = 0
         for i, g in graphs:
             added[i] = added_spans(texts[i], g, p[begin : begin + len(g.words)], base[i], certain)
