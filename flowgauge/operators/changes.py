@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..sources.records import as_struct, parse_json
+from ..sources.records import as_struct, parse_json, split_valid_invalid
 from .ordered import latest_per_key
 
 
@@ -57,13 +57,21 @@ def to_change_json(events: DataFrame, keys: Sequence[str], extra: Sequence[str]
     return events.withColumns({"key": key, "value": value})
 
 
-def decode(records: DataFrame, row_schema: str | T.StructType, value: str = "value") -> DataFrame:
-    """Log event text to ``op, before, after, ts_ms``; accepts c, u, d and r."""
+def decode(records: DataFrame, row_schema: str | T.StructType,
+           value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Log event text to ``op, before, after, ts_ms``; accepts c, u, d and r.
+
+    The second table has the other records, with their text in ``decoded`` and
+    the ``reason``: unreadable, or an unknown operation.
+    """
     row = as_struct(row_schema)
     schema = T.StructType([T.StructField("before", row), T.StructField("after", row),
                            T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType())])
-    parsed = parse_json(records, schema, value, out="_event", keep_text=False)
-    return parsed.filter(F.col("_event.op").isin("c", "u", "d", "r")).select("*", "_event.*").drop("_event")
+    parsed = parse_json(records, schema, value, out="_event")
+    good, bad = split_valid_invalid(parsed, F.col("_event.op").isin("c", "u", "d", "r"))
+    reason = F.when(F.col("_event").isNull(), "unreadable").otherwise("unknown operation")
+    return (good.select("*", "_event.*").drop("_event", "decoded"),
+            bad.withColumn("reason", reason).drop("_event"))
 
 
 def apply_changes(events: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -73,12 +81,18 @@ def apply_changes(events: DataFrame, keys: Sequence[str], order: Sequence[str],
     Per key the last event by ``order`` counts: its ``after`` image, or no row
     if it deletes.  With ``keep_deleted`` deletes stay as rows with
     ``_deleted`` so that older changes arriving later cannot bring them back.
+    An update that changes the key deletes the old key and creates the new one.
     """
     fields = [f.name for f in events.schema["after"].dataType]
-    image = F.coalesce(F.col("after"), F.col("before"))
-    flat = events.select(
-        *[image[f].alias(f) for f in fields], (F.col("op") == "d").alias("_deleted"),
-        *[F.col(c) for c in order if c not in fields])
+    moved = F.lit(False)
+    for k in keys:
+        moved = moved | ~F.col(f"before.{k}").eqNullSafe(F.col(f"after.{k}"))
+    moved = (F.col("op") == "u") & F.col("before").isNotNull() & F.col("after").isNotNull() & moved
+    image = lambda row, deleted: F.struct(row.alias("row"), deleted.alias("_deleted"))
+    images = F.when(moved, F.array(image(F.col("before"), F.lit(True)), image(F.col("after"), F.lit(False)))).otherwise(
+        F.array(image(F.coalesce("after", "before"), F.col("op") == "d")))
+    flat = events.select(*[c for c in order if c not in fields], F.inline(images)).select(
+        *[F.col(f"row.{f}").alias(f) for f in fields], "_deleted", *[c for c in order if c not in fields])
     last = latest_per_key(flat, keys, order)
     if keep_deleted:
         return last

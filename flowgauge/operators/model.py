@@ -52,6 +52,8 @@ def health_pipeline(trees: int = 20, depth: int = 20, label: str = "12", column:
     follows; ``as_category`` keeps it a category and needs ``max_bins`` of at
     least the number of its values plus one.
     """
+    if depth > 30:
+        raise ValueError(f"a tree can be 30 deep at most, not {depth}")
     index = StringIndexer(inputCol=column, outputCol=indexed_name(column), handleInvalid="keep")
     plain = f"{column}_plain"
     strip = SQLTransformer(statement=f"SELECT *, `{indexed_name(column)}` + 0D AS `{plain}` FROM __THIS__")
@@ -59,7 +61,7 @@ def health_pipeline(trees: int = 20, depth: int = 20, label: str = "12", column:
     gather = VectorAssembler(inputCols=[source if f == column else f for f in features],
                              outputCol="features", handleInvalid="keep")
     forest = RandomForestClassifier(
-        labelCol=label, featuresCol="features", numTrees=trees, maxDepth=min(depth, 30), impurity="gini",
+        labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, impurity="gini",
         maxBins=max_bins, seed=seed)
     return Pipeline(stages=[index, strip, gather, forest])
 

@@ -73,8 +73,7 @@ def replicate(records: DataFrame, source: str, allow: str, deny: str | None = No
 
 def with_replicas(records: DataFrame, topic: str) -> DataFrame:
     """A topic together with its replicas of any source."""
-    quoted = topic.replace(".", r"\.")
-    return records.filter(selected_topics(rf"(?:.*\.)?{quoted}"))
+    return records.filter((F.col("topic") == topic) | F.col("topic").endswith(f".{topic}"))
 
 
 def continuity_gap(before: DataFrame, after: DataFrame, value: str = "value") -> DataFrame:

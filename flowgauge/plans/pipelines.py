@@ -72,8 +72,14 @@ def reading_table_rows(enriched: DataFrame) -> DataFrame:
 
 
 def enriched_sink(table_path: str, json_path: str, avro_path: str, failures: Sink | None = None,
-                  health: PipelineModel | None = None, default_result: Column | None = None) -> Sink:
-    """Topic records to: keyed table, JSON topic folder, Avro folder, and quarantine, from one pass."""
+                  health: PipelineModel | None = None, default_result: Column | None = None,
+                  avro_format: str = "avro", buckets: int = keyed.HASH_PARTITIONS) -> Sink:
+    """Topic records to: keyed table, JSON topic folder, Avro folder, and quarantine, from one pass.
+
+    Of several readings of one key in a batch the one with the greatest values
+    is stored, so a repeated batch stores the same.  ``avro_format`` names
+    another file format where the Avro module is missing.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = records.parse_json(batch, schemas.READING_WIRE).persist()
         try:
@@ -84,11 +90,13 @@ def enriched_sink(table_path: str, json_path: str, avro_path: str, failures: Sin
         finally:
             parsed.unpersist()
 
-    store = keyed.upsert(table_path, schemas.TABLE_KEYS["sensors"], shape=reading_table_rows)
+    keys = schemas.TABLE_KEYS["sensors"]
+    rest = [f.name for f in schemas.READING_TABLE if f.name not in keys]
+    store = keyed.upsert(table_path, keys, rest, buckets, shape=reading_table_rows)
     publish = sinks.file_batch(json_path, shape=lambda d: sinks.json_records(d, "iot_enriched"))
 
     def avro(d: DataFrame, n: int) -> None:
-        sinks.write_avro(d, f"{avro_path}/batch_id={n}", schemas.READING_WIRE)
+        sinks.write_avro(d, f"{avro_path}/batch_id={n}", schemas.READING_WIRE, fmt=avro_format)
 
     return write
 
@@ -107,11 +115,16 @@ def statistics_view(path: str, ignore_nulls: bool = True) -> Sink:
 
 
 def score_payments(lines: DataFrame, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Text lines to payments with the scorer's answer under ``model_response``."""
+    """Text lines to payments with the scorer's answer under ``model_response``; see :func:`rejected_payments`."""
     rows = records.parse_json_flat(lines, schemas.TRANSACTION_RAW)
     return scorer(shape.tag(rows, schema__name="Transaction"))
 
 
+def rejected_payments(lines: DataFrame) -> DataFrame:
+    """The lines that are no payments, with their text and a reason, for quarantine."""
+    return records.unreadable(lines, schemas.TRANSACTION_RAW)
+
+
 def payment_routes(threshold: float = 0.90) -> dict[str, Callable[[DataFrame], DataFrame]]:
     """The three outputs of a scored payment."""
     score = F.col("model_response.fraud_score").alias("fraud_score")
@@ -124,37 +137,46 @@ def payment_routes(threshold: float = 0.90) -> dict[str, Callable[[DataFrame], D
     }
 
 
-def payments_sink(transactions_path: str, suspects_path: str, table_path: str, threshold: float = 0.90) -> Sink:
+def by_number(column: str) -> list[Column]:
+    """Order of numbers that stand as text: longer ones come later."""
+    return [F.length(column), F.col(column)]
+
+
+def payments_sink(transactions_path: str, suspects_path: str, table_path: str, threshold: float = 0.90,
+                  buckets: int = keyed.HASH_PARTITIONS) -> Sink:
     """Scored payments to two topic folders and the keyed table."""
     return sinks.routed(payment_routes(threshold), {
         "flattened": sinks.file_batch(transactions_path, shape=lambda d: sinks.json_records(d, "transactions")),
-        "to_kudu": keyed.upsert(table_path, schemas.TABLE_KEYS["transactions"], ["transaction_id"]),
+        "to_kudu": keyed.upsert(table_path, schemas.TABLE_KEYS["transactions"], buckets=buckets, by=by_number("transaction_id")),
         "likely_fraud": sinks.file_batch(suspects_path, shape=lambda d: sinks.json_records(d, "fraud_suspects")),
     })
 
 
-def fraud_sink(topic_path: str, table_path: str) -> Sink:
+def fraud_sink(topic_path: str, table_path: str, buckets: int = keyed.HASH_PARTITIONS) -> Sink:
     """Found frauds to the topic folder and the keyed table, computed once."""
     return sinks.fan_out(
         sinks.file_batch(topic_path, shape=lambda d: sinks.json_records(joins.fraud_topic_rows(d), "fraudulent_txn")),
-        keyed.upsert(table_path, schemas.TABLE_KEYS["fraudulent_txn"], ["transaction_id"],
-                     shape=joins.fraud_table_rows),
+        keyed.upsert(table_path, schemas.TABLE_KEYS["fraudulent_txn"], buckets=buckets,
+                     shape=joins.fraud_table_rows, by=by_number("transaction_id")),
     )
 
 
-def replica_sink(table_path: str, log_path: str | None = None) -> Sink:
+def replica_sink(table_path: str, log_path: str | None = None, keys: tuple[str, ...] = ("id",),
+                 compact_every: int = 50, buckets: int = keyed.HASH_PARTITIONS) -> Sink:
     """Change events (``op, before, after, ts, seq``) to a replica table and, if asked, a change log."""
     def replica(batch: DataFrame, batch_id: int) -> None:
-        state = changes.apply_changes(batch, ["id"], ["ts", "seq"], keep_deleted=True)
-        keyed.write_changes(state, table_path, batch_id, ["id"], ["ts", "seq"])
+        state = changes.apply_changes(batch, keys, ["ts", "seq"], keep_deleted=True)
+        keyed.write_changes(state, table_path, batch_id, keys, ["ts", "seq"], buckets, unique=True)
+        if batch_id and batch_id % compact_every == 0:
+            keyed.compact(batch.sparkSession, table_path, keys, ["ts", "seq"])
     def log(batch: DataFrame, batch_id: int) -> None:
         events = changes.encode(batch, ["ts", "seq"])
-        changes.to_change_json(events, ["id"]).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+        changes.to_change_json(events, keys).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
     return sinks.fan_out(replica, log) if log_path else replica
 
 
-def read_replica(spark, table_path: str) -> DataFrame | None:
-    rows = keyed.read_keyed(spark, table_path, ["id"], ["ts", "seq"])
+def read_replica(spark, table_path: str, keys: tuple[str, ...] = ("id",)) -> DataFrame | None:
+    rows = keyed.read_keyed(spark, table_path, keys, ["ts", "seq"])
     return None if rows is None else rows.drop("ts", "seq")
 
 

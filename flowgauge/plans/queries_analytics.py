@@ -471,7 +471,7 @@ def snk11(spark, sf):
 @query("cdc04_decode_change_log", with_(CHANGES, OLD, NEW, DIFF, EVENTS) + "SELECT * FROM log")
 def cdc04(spark, sf):
     lines = changes.to_change_json(_log(spark, sf), ["id"]).select("id", "part", "value")
-    return _flat(changes.decode(lines, "id bigint, name string").drop("value", "ts_ms"))
+    return _flat(changes.decode(lines, "id bigint, name string")[0].drop("value", "ts_ms"))
 
 
 @query("cdc05_verify_replica", with_(CHANGES, OLD, NEW, DIFF, EVENTS, """replica AS (

@@ -199,7 +199,7 @@ def src18(spark, sf):
     first, second = one(F.col("sensor_ts"), "sensor_9"), one(F.col("sensor_ts") + 1, "sensor_10")
     message = F.when(F.col("reading_id") % 2 == 0, F.to_json(F.array(first, second))).otherwise(F.to_json(first))
     messages = _readings(spark, sf).select(message.alias("value"))
-    return rec.parse_json_array(messages, "sensor_id int, sensor_ts bigint, sensor_9 int").select("data.*")
+    return rec.parse_json_array(messages, "sensor_id int, sensor_ts bigint, sensor_9 int")[0].select("data.*")
 
 
 @query("src19_named_provider", with_(RECORDS) + """SELECT "partition", count(*) AS n FROM records WHERE topic = 'iot/error' GROUP BY 1""")
@@ -234,23 +234,35 @@ SELECT sensor_id, sensor_ts, is_healthy, {SENSOR_LIST} FROM readings""")
 def snk02(spark, sf):
     path = new_folder(spark, "avro")
     rows = _readings(spark, sf).withColumn("response", F.struct(F.col("is_healthy").alias("result")))
-    fmt = sinks.write_avro(rows, path, schemas.READING_WIRE)
+    fmt = "avro" if sinks.has_avro(spark) else "parquet"
+    sinks.write_avro(rows, path, schemas.READING_WIRE, fmt=fmt)
     return spark.read.format(fmt).load(path).drop("response")
 
 
-@query("snk03_insert_from_stream", with_(READINGS) + "SELECT sensor_id, sensor_6 FROM readings WHERE sensor_6 > 70")
+@query("snk09_preview_stream", with_(READINGS) + """
+SELECT * EXCLUDE (event_time), event_time FROM readings WHERE reading_id IN (
+  SELECT arg_min(reading_id, (event_time, reading_id)) FROM readings GROUP BY date_trunc('day', event_time)
+  HAVING date_trunc('day', min(event_time)) + INTERVAL 1 DAY <= (SELECT max(event_time) - INTERVAL 3 SECOND FROM readings))""")
+def snk09_stream(spark, sf):
+    rows = inputs.readings(inputs.feed(spark, sf, "events", "ts", new_folder(spark, "feed")))
+    shown = sinks.preview(rows.withWatermark("event_time", "3 seconds"), "event_time", 86_400_000, ["reading_id"])
+    return _collected(shown, "snk09").withColumn("event_time", epoch.naive("event_time"))
+
+
+@query("snk03_insert_from_stream", with_(READINGS) + "SELECT sensor_id, sensor_6 FROM readings")
 def snk03(spark, sf):
-    rows = inputs.readings(_event_stream(spark, sf)).filter("sensor_6 > 70").select("sensor_id", "sensor_6")
+    rows = inputs.readings(_event_stream(spark, sf)).select("sensor_id", "sensor_6")
     return _collected(rows, "snk03")
 
 
 @query("snk04_one_view_two_sinks", with_(READINGS) + """
-SELECT 'topic' AS sink, count(*) AS n, CAST(sum(sensor_0) AS BIGINT) AS total FROM readings WHERE sensor_6 > 70
-UNION ALL SELECT 'table', count(*), CAST(sum(sensor_0) AS BIGINT) FROM readings WHERE sensor_6 > 70""")
+SELECT 'topic' AS sink, count(*) AS n, CAST(sum(sensor_0) AS BIGINT) AS total FROM readings
+UNION ALL SELECT 'table', count(*), CAST(sum(sensor_0) AS BIGINT) FROM
+  (SELECT sensor_id, sensor_ts, max(sensor_0) AS sensor_0 FROM readings GROUP BY 1, 2)""")
 def snk04(spark, sf):
     topic, table = new_folder(spark, "topic"), new_folder(spark, "table")
     keys = ["sensor_id", "sensor_ts"]
-    rows = inputs.readings(_event_stream(spark, sf)).filter("sensor_6 > 70").select(*keys, "sensor_0")
+    rows = inputs.readings(_event_stream(spark, sf)).select(*keys, "sensor_0")
     jobs.run_available(rows, "snk04", each_batch=sinks.fan_out(
         sinks.file_batch(topic, shape=lambda d: sinks.json_records(d, "out", ["sensor_id"])),
         keyed.upsert(table, keys, ["sensor_0"])))
@@ -284,13 +296,13 @@ def snk05_stream(spark, sf):
 
 
 @query("snk06_hash_partitions", with_(CUSTOMERS) + """
-SELECT count(*) AS n, count(DISTINCT acc_id) AS accounts, true AS within FROM customers""")
+SELECT acc_id, CAST(1 AS BIGINT) AS buckets, true AS within FROM (SELECT DISTINCT acc_id FROM customers)""")
 def snk06(spark, sf):
     path = new_folder(spark, "buckets")
     keyed.with_bucket(_customers(spark, sf), ["acc_id"]).write.partitionBy("bucket").parquet(path)
     inside = F.col("bucket").between(0, schemas.HASH_PARTITIONS - 1)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("acc_id").alias("accounts"),
-                                        F.bool_and(inside).alias("within"))
+    return spark.read.parquet(path).groupBy("acc_id").agg(
+        F.countDistinct("bucket").alias("buckets"), F.bool_and(inside).alias("within"))
 
 
 @query("snk10_quarantine", with_(RECORDS) + f"""
@@ -447,7 +459,7 @@ def pip02(spark, sf):
     source = inputs.topic_records(_event_stream(spark, sf))
     table, out, avro = (new_folder(spark, n) for n in ("sensors", "enriched", "enriched-avro"))
     jobs.run_available(source, "pip02", each_batch=pipelines.enriched_sink(
-        table, out, avro, default_result=F.col("sensor_3") % 2))
+        table, out, avro, default_result=F.col("sensor_3") % 2, avro_format="parquet"))
     return keyed.read_keyed(spark, table, schemas.TABLE_KEYS["sensors"])
 
 
@@ -475,7 +487,7 @@ def pip04(spark, sf):
 
 
 @query("pip05_geographic_fraud", with_(TRANSACTIONS, CUSTOMERS, FRAUDS) + """
-SELECT event_time, account_id AS acc_id, arg_max(txn2_id, txn2_id) AS transaction_id, max(f_name) AS f_name
+SELECT event_time, account_id AS acc_id, arg_max(txn2_id, CAST(txn2_id AS BIGINT)) AS transaction_id, max(f_name) AS f_name
 FROM frauds GROUP BY 1, 2""")
 def pip05(spark, sf):
     topic, table = new_folder(spark, "fraud-topic"), new_folder(spark, "fraud-table")
@@ -485,6 +497,42 @@ def pip05(spark, sf):
     return stored.select(epoch.naive(F.col("event_time").cast("timestamp")).alias("event_time"), "acc_id", "transaction_id", "f_name")
 
 
+MOVES = """moves AS (
+  SELECT CAST(user_id AS BIGINT) AS id, CAST(user_id + 1000000 AS BIGINT) AS new_id, 'n' || max(event_id) AS name
+  FROM events GROUP BY user_id)"""
+
+
+@query("cdc02_update_of_the_key", with_(MOVES) + """
+SELECT CASE WHEN id % 2 = 0 THEN new_id ELSE id END AS id, name FROM moves""")
+def cdc02_moves(spark, sf):
+    found = inputs.load(spark, sf, "events").groupBy(F.col("user_id").cast("bigint").alias("id")).agg(
+        F.concat(F.lit("n"), F.max("event_id").cast("string")).alias("name"))
+    row = lambda i, name: F.struct(i.cast("bigint").alias("id"), name.alias("name"))
+    before = row(F.col("id"), F.lit("old"))
+    after = row(F.when(F.col("id") % 2 == 0, F.col("id") + 1_000_000).otherwise(F.col("id")), F.col("name"))
+    nothing = F.lit(None).cast("struct<id:bigint,name:string>")
+    one = lambda op, b, a, n: found.select(F.lit(op).alias("op"), b.alias("before"), a.alias("after"),
+                                           F.lit(n).cast("bigint").alias("ts"), F.lit(n).cast("bigint").alias("seq"))
+    path = new_folder(spark, "moved")
+    sink = pipelines.replica_sink(path, compact_every=1)
+    for n, batch in enumerate([one("c", nothing, before, 0), one("u", before, after, 1)]):
+        sink(batch, n)
+    return pipelines.read_replica(spark, path)
+
+
+@query("snk10_array_quarantine", """
+SELECT event_id % 10 = 0 AS bad, count(*) AS messages, CAST(sum(event_id) AS BIGINT) AS total FROM events GROUP BY 1""")
+def snk10_array(spark, sf):
+    number = F.col("event_id").cast("string")
+    text = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit('[{"id":'), number)).otherwise(
+        F.concat(F.lit('[{"id":'), number, F.lit("}]")))
+    messages = inputs.load(spark, sf, "events").select(text.alias("value"))
+    good, bad = rec.parse_json_array(messages, "id bigint")
+    found = good.select(F.lit(False).alias("bad"), F.col("data.id").alias("id")).unionByName(
+        bad.select(F.lit(True).alias("bad"), F.regexp_extract("decoded", "[0-9]+", 0).cast("bigint").alias("id")))
+    return found.groupBy("bad").agg(F.count("*").alias("messages"), F.sum("id").alias("total"))
+
+
 @query("pip06_change_log_of_stream", with_(CHANGES) + """
 SELECT ts, seq, 0 AS part, 'd' AS op, 'null' AS after FROM changes WHERE op IN ('d', 'u')
 UNION ALL SELECT ts, seq, CASE op WHEN 'u' THEN 1 ELSE 0 END, 'c', '{"id":' || id || ',"name":"' || name || '"}'

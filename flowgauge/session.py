@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-_local_folders: dict[str, str] = {}
-
 
 def get_spark(app: str = "flowgauge", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators count on.
@@ -40,17 +37,14 @@ def get_spark(app: str = "flowgauge", master: str | None = None, **conf) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a local session without that setting gets one below its warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="flowgauge-")
-    return _local_folders[context.applicationId]
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    return folder.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -37,15 +38,36 @@ def _text(df: DataFrame, value: str) -> Column:
 
 def parse_json_flat(df: DataFrame, schema: str | T.StructType, value: str = "value",
                     keep: Sequence[str] = ()) -> DataFrame:
-    """Readable records of :func:`parse_json` as plain columns."""
+    """Readable records of :func:`parse_json` as plain columns; :func:`unreadable` has the others."""
     parsed = parse_json(df, schema, value)
     return parsed.filter(F.col("data").isNotNull()).select(*keep, "data.*")
 
 
-def parse_json_array(df: DataFrame, schema: str | T.StructType, value: str = "value", out: str = "data") -> DataFrame:
-    """One row per record of a message that holds a JSON array or a single object."""
-    parsed = F.from_json(_text(df, value), T.ArrayType(as_struct(schema)))
-    return df.withColumn(out, F.explode(parsed))
+def unreadable(df: DataFrame, schema: str | T.StructType, value: str = "value",
+               keep: Sequence[str] = ()) -> DataFrame:
+    """Records that :func:`parse_json_flat` leaves out, with their text in ``decoded`` and the ``reason``."""
+    parsed = parse_json(df, schema, value).filter(F.col("data").isNull())
+    return parsed.select(*keep, "decoded", F.lit("unreadable").alias("reason"))
+
+
+def parse_json_array(df: DataFrame, schema: str | T.StructType, value: str = "value",
+                     out: str = "data") -> tuple[DataFrame, DataFrame]:
+    """One row per record of a message that holds a JSON array or a single object.
+
+    The second table has the messages that cannot be read as either, and those
+    with a record that cannot, whole, with their text in ``decoded``.
+    """
+    text = F.trim(_text(df, value))
+    # Each element is parsed by itself, as one that cannot be read would void the whole array.
+    elements = F.from_json(F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]"))), "array<string>")
+    read = lambda e: F.from_json(e, as_struct(schema), {"mode": "PERMISSIVE"})
+    objects = F.filter(elements, lambda e: e.startswith("{"))
+    whole = F.try_parse_json(text).isNotNull() & (F.size(objects) == F.size(elements))
+    marked = df.withColumn("decoded", _text(df, value)).withColumn("_parts", F.explode(F.array(F.struct(
+        F.coalesce(whole, F.lit(False)).alias("ok"), objects.alias("all")))))
+    good = marked.filter("_parts.ok").withColumn(out, F.explode(F.transform("_parts.all", read)))
+    bad = marked.filter("NOT _parts.ok").withColumn("reason", F.lit("unreadable"))
+    return good.drop("_parts", "decoded"), bad.drop("_parts")
 
 
 def header_value(name_pattern: str, headers: str = "headers") -> Column:
@@ -56,10 +78,16 @@ def header_value(name_pattern: str, headers: str = "headers") -> Column:
 
 def parse_by_schema_name(df: DataFrame, schemas: Mapping[str, str | T.StructType], name: Column,
                          value: str = "value") -> dict[str, DataFrame]:
-    """Records split by the schema each one names, parsed with that schema; others under ``unmatched``."""
+    """Records split by the schema each one names, parsed with that schema.
+
+    Those that name no known schema stand under ``unmatched``, and those that
+    cannot be read with theirs under ``unreadable``, with their text.
+    """
     named = df.withColumn("schema_name", name)
     parts = {n: parse_json_flat(named.filter(F.col("schema_name") == n), s, value, keep=["schema_name"])
              for n, s in schemas.items()}
+    bad = [unreadable(named.filter(F.col("schema_name") == n), s, value, keep=["schema_name"]) for n, s in schemas.items()]
+    parts["unreadable"] = reduce(DataFrame.unionByName, bad)
     known = F.col("schema_name").isin(*schemas)
     parts["unmatched"] = named.filter(~F.coalesce(known, F.lit(False)))
     return parts

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.ordered import latest_per_key
 from ..sources.schemas import HASH_PARTITIONS
@@ -44,17 +45,22 @@ def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int = HASH_PARTITIO
 
 
 def write_changes(df: DataFrame, path: str, batch_id: int, keys: Sequence[str], order: Sequence[str] = (),
-                  buckets: int = HASH_PARTITIONS, fold: bool = True) -> None:
+                  buckets: int = HASH_PARTITIONS, fold: bool = True, unique: bool = False,
+                  by: Sequence[Column] = ()) -> None:
     """Add a batch of upserts.
 
-    ``order`` says which of several rows of a key in one batch is the last.
-    Rows with a true ``_deleted`` column remove their key.
+    ``order`` (columns) or ``by`` (expressions) says which of several rows of a
+    key in one batch is the last, and is asked for unless the caller knows keys
+    to be ``unique`` in the batch.  Rows with a true ``_deleted`` column remove
+    their key.
     """
-    if fold:
-        if order:
-            df = latest_per_key(df, keys, order, keep=[c for c in df.columns if c not in keys])
-        else:
-            df = df.dropDuplicates(list(keys))
+    if fold and not unique:
+        if not order and not by:
+            raise ValueError("order says which row of a key is the last")
+        columns = df.columns
+        made = {f"_by{i}": c for i, c in enumerate(by)}
+        kept = [c for c in [*columns, *made] if c not in keys]
+        df = latest_per_key(df.withColumns(made) if made else df, keys, [*made, *order], keep=kept).select(*columns)
     if "_deleted" not in df.columns:
         df = df.withColumn("_deleted", F.lit(False))
     rows = with_bucket(df, keys, buckets)
@@ -69,13 +75,13 @@ def _changes(spark: SparkSession, path: str, after: int, before: int | None) ->
     if not folders:
         return None
     # An empty batch writes no data file, and so has no schema.
-    frames = spark.read.option("basePath", f"{path}/changes")
+    frames = spark.read.option("basePath", f"{path}/changes").option("mergeSchema", "true")
     try:
         return frames.parquet(*[folders[n] for n in sorted(folders)])
-    except Exception as error:
-        if "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return None
-        raise
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
 
 
 def _base(spark: SparkSession, path: str, before: int | None) -> tuple[int, DataFrame | None]:
@@ -90,8 +96,7 @@ def read_all(spark: SparkSession, path: str, keys: Sequence[str], order: Sequenc
              before: int | None = None) -> DataFrame | None:
     """Last row per key with ``_deleted`` and ``batch_id``; only batches below ``before`` if given.
 
-    Only keys that changed since the last compaction are compared; the other
-    rows of the base are passed through.
+    Base and changes are scanned once each and folded together.
     """
     upto, base = _base(spark, path, before)
     changes = _changes(spark, path, upto, before)
@@ -103,10 +108,8 @@ def read_all(spark: SparkSession, path: str, keys: Sequence[str], order: Sequenc
     on = ["bucket", *keys]
     if base is None:
         return latest_per_key(changes, on, full_order)
-    touched = changes.select(*on).distinct()
-    candidates = base.join(touched, on, "left_semi").unionByName(changes.select(*base.columns))
-    return base.join(touched, on, "left_anti").unionByName(
-        latest_per_key(candidates, on, full_order).select(*base.columns))
+    # A base written under an older schema lacks the newer columns.
+    return latest_per_key(base.unionByName(changes, allowMissingColumns=True), on, full_order)
 
 
 def read_keyed(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = ("batch_id",),
@@ -131,7 +134,7 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence
     bring them back, until the condition ``forget_deleted`` holds for them.
     The base before this one and the changes since then are kept, for a batch
     that is repeated; what is older is removed.  The whole table is written
-    anew, so a large one is compacted seldom.
+    anew, each hash partition by one task, so a large one is compacted seldom.
     """
     done = _folders(spark, f"{path}/changes", "batch_id=")
     bases = _folders(spark, f"{path}/base", "upto=")
@@ -144,16 +147,17 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence
         return
     if forget_deleted is not None:
         rows = rows.filter(~(F.col("_deleted") & F.coalesce(forget_deleted, F.lit(False))))
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/base/upto={newest}")
+    rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/base/upto={newest}")
     _delete(spark, [f for n, f in bases.items() if n < upto] + [f for n, f in done.items() if n <= upto])
 
 
 def upsert(path: str, keys: Sequence[str], order: Sequence[str] = (), buckets: int = HASH_PARTITIONS,
            table_order: Sequence[str] = ("batch_id",), compact_every: int = 50,
-           shape: Callable[[DataFrame], DataFrame] = lambda d: d) -> Callable[[DataFrame, int], None]:
-    """Sink for ``foreachBatch``: last write per key wins."""
+           shape: Callable[[DataFrame], DataFrame] = lambda d: d, unique: bool = False,
+           by: Sequence[Column] = ()) -> Callable[[DataFrame, int], None]:
+    """Sink for ``foreachBatch``: the last write per key wins, by ``order`` or ``by`` inside a batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_changes(shape(batch), path, batch_id, keys, order, buckets)
+        write_changes(shape(batch), path, batch_id, keys, order, buckets, unique=unique, by=by)
         if batch_id and batch_id % compact_every == 0:
             compact(batch.sparkSession, path, keys, table_order)
     return write

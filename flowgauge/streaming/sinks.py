@@ -58,12 +58,12 @@ def has_avro(spark) -> bool:
         return False
 
 
-def write_avro(df: DataFrame, path: str, schema: T.StructType, mode: str = "overwrite") -> str:
-    """Rows in the given schema as Avro files, or as parquet where Avro is missing; returns the format."""
-    fmt = "avro" if has_avro(df.sparkSession) else "parquet"
+def write_avro(df: DataFrame, path: str, schema: T.StructType, mode: str = "overwrite", fmt: str = "avro") -> None:
+    """Rows in the given schema as Avro files, or as files of a format that the caller names."""
+    if fmt == "avro" and not has_avro(df.sparkSession):
+        raise RuntimeError("the Avro module is not on the class path")
     shaped = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
     shaped.write.mode(mode).format(fmt).save(path)
-    return fmt
 
 
 def file_batch(path: str, fmt: str = "parquet", shape: Callable[[DataFrame], DataFrame] = lambda d: d):
@@ -111,13 +111,14 @@ def routed(outputs: Mapping[str, Callable[[DataFrame], DataFrame]],
 def preview(df: DataFrame, time: str, every_ms: int, order: Sequence[str] = ()) -> DataFrame:
     """One row per interval (the first), or every row when the interval is 0.
 
-    A batch folds each interval to its first row before the shuffle; a stream
-    keeps the first row that arrives.
+    Each interval is folded to its first row before the shuffle.  A stream needs
+    a watermark, and gives an interval once the watermark has passed its end.
     """
     if every_ms == 0:
         return df
-    slot = floor_div(epoch_us(time), every_ms * 1000)
-    if df.isStreaming:
-        return df.withColumn("_slot", slot).dropDuplicatesWithinWatermark(["_slot"]).drop("_slot")
     first = F.min_by(F.struct(*df.columns), F.struct(time, *order))
+    if df.isStreaming:
+        slot = F.window(time, f"{every_ms} milliseconds")
+        return df.groupBy(slot).agg(first.alias("_row")).select("_row.*")
+    slot = floor_div(epoch_us(time), every_ms * 1000)
     return df.groupBy(slot.alias("_slot")).agg(first.alias("_row")).select("_row.*")

@@ -59,7 +59,7 @@ def count_window_sink(path: str, keys: Sequence[str], order: Sequence[str], valu
             ordered = F.sort_array(F.collect_list(F.struct("_position", *fields)))
             kept = left.groupBy(*keys).agg(
                 F.transform(ordered, lambda r: F.struct(*[r[c].alias(c) for c in fields])).alias("waiting"))
-            write_changes(total.join(kept, list(keys), "left"), state_path, batch_id, keys)
+            write_changes(total.join(kept, list(keys), "left"), state_path, batch_id, keys, unique=True)
             if batch_id and batch_id % compact_every == 0:
                 compact(spark, state_path, keys)
         finally:
@@ -88,7 +88,7 @@ def running_sum_sink(path: str, keys: Sequence[str], order: Sequence[str], value
                 summed = summed.join(known, list(keys), "left").withColumn(out, F.col(out) + before).drop("total")
                 totals = totals.join(known, list(keys), "left").withColumn("_sum", F.col("_sum") + before)
             keep(summed).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-            write_changes(totals.select(*keys, F.col("_sum").alias("total")), state_path, batch_id, keys)
+            write_changes(totals.select(*keys, F.col("_sum").alias("total")), state_path, batch_id, keys, unique=True)
             if batch_id and batch_id % compact_every == 0:
                 compact(spark, state_path, keys)
         finally:

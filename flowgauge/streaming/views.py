@@ -11,14 +11,14 @@ from . import keyed
 
 
 def view_sink(path: str, keys: Sequence[str], order: Sequence[str], ignore_nulls: bool = False,
-              compact_every: int = 50) -> Callable[[DataFrame, int], None]:
+              compact_every: int = 50, buckets: int = keyed.HASH_PARTITIONS) -> Callable[[DataFrame, int], None]:
     """Sink that feeds a view.
 
     With ``ignore_nulls`` all rows are kept, since the last non-null value of
     each column may sit in a different row.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        keyed.write_changes(batch, path, batch_id, keys, order, fold=not ignore_nulls)
+        keyed.write_changes(batch, path, batch_id, keys, order, buckets, fold=not ignore_nulls)
         if not ignore_nulls and batch_id and batch_id % compact_every == 0:
             keyed.compact(batch.sparkSession, path, keys, order)
     return write

@@ -61,12 +61,24 @@ def test_preview_of_a_stream(spark, folder):
     schema = "id bigint, event_time timestamp"
     rows = lambda *s: spark.createDataFrame([(i, x) for i, x in enumerate(s)], "id bigint, s double").select(
         "id", F.timestamp_micros((F.col("s") * 1_000_000).cast("bigint")).alias("event_time"))
-    feed = Feed(spark, folder, schema).add(rows(0.1, 0.2, 1.5)).add(rows(1.6, 2.1))
+    feed = Feed(spark, folder, schema).add(rows(0.1, 0.2, 1.5)).add(rows(1.6, 2.1)).add(rows(9.0))
     shown = sinks.preview(feed.stream().withWatermark("event_time", "3 seconds"), "event_time", 1000)
     jobs.run_available(shown, "preview", path=folder + "-out")
     assert spark.read.parquet(folder + "-out").count() == 3
 
 
+def test_preview_of_a_stream_with_an_interval_longer_than_the_watermark(spark, folder):
+    schema = "id bigint, event_time timestamp"
+    minutes = lambda *m: spark.createDataFrame([(x,) for x in m], "id bigint").select(
+        "id", F.timestamp_micros(F.col("id") * 60_000_000).alias("event_time"))
+    feed = Feed(spark, folder, schema)
+    for part in ((0, 1), (10, 11), (20, 21), (30, 31), (50,), (70, 61), (130,)):
+        feed.add(minutes(*part))
+    shown = sinks.preview(feed.stream().withWatermark("event_time", "3 seconds"), "event_time", 3_600_000)
+    jobs.run_available(shown, "preview", path=folder + "-out")
+    assert sorted(r["id"] for r in spark.read.parquet(folder + "-out").collect()) == [0, 61]
+
+
 def test_edge_pipeline_edges(spark):
     rows = [("iot/1", '{"sensor_ts":1000000,"sensor_0":1,"sensor_1":2}', 1.0),
             ("iot/1", '{"sensor_ts":1000000,"sensor_0":500,"sensor_1":2}', 1.0),       # implausible
@@ -88,7 +100,7 @@ def test_enrichment_quarantines_and_fills(spark, folder):
                                 ('{"sensor_id":2,"sensor_ts":2,"response":{"result":1}}',)], "value string")
     failed = []
     sink = pipelines.enriched_sink(f"{folder}/t", f"{folder}/j", f"{folder}/a",
-                                   failures=lambda d, n: failed.append(d.count()), default_result=F.lit(0))
+                                   avro_format="parquet", failures=lambda d, n: failed.append(d.count()), default_result=F.lit(0))
     sink(df, 0)
     stored = keyed.read_keyed(spark, f"{folder}/t", schemas.TABLE_KEYS["sensors"])
     assert {r["sensor_id"]: r["is_healthy"] for r in stored.collect()} == {1: 0, 2: 1}

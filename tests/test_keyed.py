@@ -162,13 +162,60 @@ def test_encoding_of_the_published_script(spark):
     assert log[2]["value"] == '{"before":null,"after":{"id":200,"name":"u"},"op":"c"}'
 
 
-def test_decoding_accepts_all_kinds_and_skips_the_rest(spark):
+def test_decoding_accepts_all_kinds_and_sets_the_rest_aside(spark):
     lines = ['{"before":null,"after":{"id":1,"name":"a"},"op":"r","ts_ms":5}',
              '{"before":{"id":1,"name":"a"},"after":{"id":1,"name":"b"},"op":"u"}',
              '{"op":"z"}', 'not json']
     df = spark.createDataFrame([(x,) for x in lines], "value string")
-    got = changes.decode(df, "id int, name string").collect()
-    assert [(r["op"], r["after"]["name"], r["ts_ms"]) for r in got] == [("r", "a", 5), ("u", "b", None)]
+    good, bad = changes.decode(df, "id int, name string")
+    assert [(r["op"], r["after"]["name"], r["ts_ms"]) for r in good.collect()] == [("r", "a", 5), ("u", "b", None)]
+    assert {(r["decoded"], r["reason"]) for r in bad.collect()} == {
+        ('{"op":"z"}', "unknown operation"), ("not json", "unreadable")}
+
+
+def test_update_of_the_key_moves_the_row(spark, folder):
+    row = "struct<id:bigint,name:string>"
+    rows = [("c", None, (1, "a"), 1, 1), ("u", (1, "a"), (2, "b"), 2, 2), ("u", (2, "b"), (2, "c"), 3, 3)]
+    events = spark.createDataFrame(rows, f"op string, before {row}, after {row}, ts bigint, seq bigint")
+    assert [tuple(r) for r in changes.apply_changes(events, ["id"], ["ts", "seq"]).collect()] == [(2, "c")]
+    sink = pipelines.replica_sink(folder, compact_every=1, buckets=3)
+    for n in range(3):
+        sink(events.filter(f"seq = {n + 1}"), n)
+    assert replica(spark, folder) == {2: "c"}
+
+
+def test_upserts_without_order_are_refused(spark, folder):
+    with pytest.raises(ValueError):
+        keyed.write_changes(spark.createDataFrame([("a", 1, 1)], SCHEMA), folder, 0, ["k"])
+
+
+def test_numbers_as_text_are_ordered_as_numbers(spark, folder):
+    rows = spark.createDataFrame([("a", "999"), ("a", "1000")], "k string, transaction_id string")
+    keyed.write_changes(rows, folder, 0, ["k"], by=pipelines.by_number("transaction_id"))
+    assert keyed.read_keyed(spark, folder, ["k"]).first()["transaction_id"] == "1000"
+
+
+def test_table_is_scanned_once_and_files_do_not_follow_the_shuffle(spark, folder):
+    import glob
+    write(spark, folder, 0, [(f"k{i}", i, i) for i in range(500)])
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        keyed.compact(spark, folder, ["k"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(glob.glob(f"{folder}/base/*/*/*.parquet")) == 4
+    write(spark, folder, 1, [("k1", 900, 900)])
+    plan = keyed.read_keyed(spark, folder, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and "Join" not in plan
+
+
+def test_older_table_takes_new_columns(spark, folder):
+    write(spark, folder, 0, [("a", 1, 1), ("b", 1, 2)])
+    keyed.compact(spark, folder, ["k"])
+    newer = spark.createDataFrame([("a", 2, 3, "x")], SCHEMA + ", city string")
+    keyed.write_changes(newer, folder, 1, ["k"], ["t"], buckets=4)
+    assert {(r["k"], r["v"], r["city"]) for r in keyed.read_keyed(spark, folder, ["k"]).collect()} == {
+        ("a", 3, "x"), ("b", 2, None)}
 
 
 def test_diff_encode_apply_gives_the_new_state(spark):

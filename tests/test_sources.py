@@ -28,7 +28,7 @@ def test_field_of_a_wrong_type_makes_a_record_unreadable(spark):
 
 def test_message_with_an_array_or_one_object(spark):
     df = texts(spark, '[{"a":1},{"a":2}]', '{"a":3}', "[]", "bad")
-    assert sorted(r["a"] for r in records.parse_json_array(df, "a int").select("data.a").filter("a is not null").collect()) == [1, 2, 3]
+    assert sorted(r["a"] for r in records.parse_json_array(df, "a int")[0].select("data.a").filter("a is not null").collect()) == [1, 2, 3]
 
 
 def test_schema_by_header_and_unknown_schema(spark):
@@ -179,3 +179,40 @@ def test_lag_of_a_partition_never_committed(spark):
     committed = spark.createDataFrame([("g", "t", 0, 8)], "group_id string, topic string, partition int, committed bigint")
     row = topics.consumer_lag(recs, committed).first()
     assert (row["committed"], row["lag"]) == (8, 7)
+
+
+def test_messages_that_cannot_be_read_are_set_aside(spark):
+    texts = ['[{"a":1},{"a":2}]', '{"a":3}', 'not json', '[{"a":4},', '[1, 2]', '[{"a":5}, "x"]', '[]', '', None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    good, bad = records.parse_json_array(df, "a int")
+    assert sorted((r["i"], r["data"]["a"]) for r in good.collect()) == [(0, 1), (0, 2), (1, 3)]
+    assert sorted((r["i"], r["decoded"], r["reason"]) for r in bad.collect() if r["i"] != 8) == [
+        (i, texts[i], "unreadable") for i in (2, 3, 4, 5, 7)]
+    assert [r["i"] for r in bad.collect() if r["decoded"] is None] == [8]
+
+
+def test_readable_and_unreadable_records_add_up(spark):
+    texts = ['{"a":1}', 'x{"a":2}', '', '{"a":', '[1]', None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert records.parse_json_flat(df, "a int").count() + records.unreadable(df, "a int").count() == len(texts)
+    named = df.withColumn("n", F.lit("s"))
+    parts = records.parse_by_schema_name(named, {"s": "a int"}, F.col("n"))
+    assert parts["s"].count() + parts["unreadable"].count() + parts["unmatched"].count() == len(texts)
+
+
+def test_replicas_of_a_topic_with_signs(spark):
+    from flowgauge.operators import topics
+
+    df = spark.createDataFrame([("a+b",), ("r.a+b",), ("aab",), ("xa+b",)], "topic string")
+    assert sorted(r["topic"] for r in topics.with_replicas(df, "a+b").collect()) == ["a+b", "r.a+b"]
+
+
+def test_avro_is_refused_without_its_module(spark, folder):
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([(1,)], "a int")
+    if not sinks.has_avro(spark):
+        with pytest.raises(RuntimeError):
+            sinks.write_avro(df, folder, T.StructType.fromDDL("a int"))
+    sinks.write_avro(df, folder, T.StructType.fromDDL("a int"), fmt="parquet")
+    assert spark.read.parquet(folder).count() == 1
