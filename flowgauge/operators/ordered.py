@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -26,8 +27,8 @@ from ..session import broadcast_if_small, written
 HOT_ROWS = 5_000_000
 CELLS_PER_HOT_SHARE = 8
 # A cell that is still too full is cut again; one with a single time is cut by id.
-CUTS = 3
 CELLS_PER_CUT = 1 << 20
+_TEXT_BYTES = 7  # of an id that stands as text, those that a cut takes as a number
 _NO_TIME = -(1 << 61)  # rows without a time come first
 
 
@@ -42,14 +43,15 @@ def _prefixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Add ``_cell``: 0 for ordinary keys, else numbers that rise with the order of the key's rows.
+    """Add ``_cell``: empty for ordinary keys, else numbers that rise with the order of the key's rows.
 
-    ``order`` starts with a bigint time; a second bigint column is used to cut
-    rows of one time.  ``_hot`` marks the rows of hot keys.  ``None`` where no
-    key is hot.
+    ``order`` starts with a bigint time; a second column of numbers or text is
+    used to cut rows of one time.  Cells are cut until none is too full that
+    has two different rows.  ``_hot`` marks the rows of hot keys.  ``None``
+    where no key is hot.
     """
-    rows = df.withColumns({"_cell": F.lit(0).cast("bigint"), "_full": F.lit(True)})
-    for cut in range(CUTS):
+    rows = df.withColumns({"_cell": F.array().cast("array<bigint>"), "_full": F.lit(True)})
+    for cut in count():
         groups = [*keys, "_cell"]
         full, found = broadcast_if_small(written(_full_groups(rows, groups, order, hot_rows), "hot-groups"))
         if not found:
@@ -60,36 +62,62 @@ def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return rows.drop("_full") if "_hot" in rows.columns else None
 
 
-def _time_and_number(rows: DataFrame, order: Sequence[str]) -> tuple[Column, Column]:
+def _time_and_id(rows: DataFrame, order: Sequence[str]) -> tuple[Column, Column]:
+    """The time, and what cuts rows of one time: a number, or the bytes of a text."""
     time = F.coalesce(F.col(order[0]), F.lit(_NO_TIME))
-    has_id = len(order) > 1 and dict(rows.dtypes)[order[1]] in ("bigint", "int")
-    return time, F.col(order[1]).cast("bigint") if has_id else time
+    kind = dict(rows.dtypes)[order[1]] if len(order) > 1 else ""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return time, F.coalesce(F.col(order[1]).cast("bigint"), F.lit(_NO_TIME))
+    if kind == "string":
+        return time, F.coalesce(F.col(order[1]), F.lit("")).cast("binary")
+    return time, time
+
+
+def _bytes_as_number(text: Column, skip: Column) -> Column:
+    """The bytes after the first ``skip`` as a number that rises with them."""
+    digits = F.rpad(F.hex(F.substring(text, skip + 1, F.lit(_TEXT_BYTES))), 2 * _TEXT_BYTES, "0")
+    return F.conv(digits, 16, 10).cast("bigint")
+
+
+def _shared_bytes(a: Column, b: Column) -> Column:
+    """How many first bytes two texts share."""
+    return F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.least(F.octet_length(a), F.octet_length(b)), F.lit(1))), F.lit(0),
+        lambda n, i: F.when((n == i - 1) & (F.substring(a, F.lit(1), i) == F.substring(b, F.lit(1), i))
+                            & (F.octet_length(a) >= i) & (F.octet_length(b) >= i), i).otherwise(n))
 
 
 def _full_groups(rows: DataFrame, groups: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
     """Groups of more than ``hot_rows`` rows, and how to cut them into parts of equal width in time (or id)."""
-    time, number = _time_and_number(rows, order)
+    time, ident = _time_and_id(rows, order)
     full = (
         rows.filter("_full").groupBy(*groups)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min(time).alias("_t0"), F.max(time).alias("_t1"),
-             F.min(number).alias("_n0"), F.max(number).alias("_n1"))
-        .filter(F.col("_rows") > hot_rows)
+             F.min(ident).alias("_n0"), F.max(ident).alias("_n1"))
+        .filter((F.col("_rows") > hot_rows) & ((F.col("_t0") < F.col("_t1")) | (F.col("_n0") < F.col("_n1"))))
+        .withColumn("_skip", F.lit(0))
     )
+    if dict(full.dtypes)["_n0"] == "binary":
+        full = full.withColumn("_skip", _shared_bytes(F.col("_n0"), F.col("_n1")))
+        full = full.withColumns({n: _bytes_as_number(F.col(n), F.col("_skip")) for n in ("_n0", "_n1")})
     parts = F.least(floor_div(F.col("_rows") * CELLS_PER_HOT_SHARE, hot_rows) + 1, F.lit(CELLS_PER_CUT).cast("bigint"))
     by_time = F.col("_t0") < F.col("_t1")
     low, high = F.when(by_time, F.col("_t0")).otherwise(F.col("_n0")), F.when(by_time, F.col("_t1")).otherwise(F.col("_n1"))
-    return _prefixed(full.select(*groups, by_time.alias("_by_time"), low.alias("_from"),
+    return _prefixed(full.select(*groups, by_time.alias("_by_time"), "_skip", low.alias("_from"),
                                  (F.call_function("div", high - low, parts) + 1).alias("_width")), groups)
 
 
 def _cut(rows: DataFrame, full: DataFrame, groups: Sequence[str], order: Sequence[str]) -> DataFrame:
-    time, number = _time_and_number(rows, order)
+    time, ident = _time_and_id(rows, order)
+    is_text = rows.select(ident.alias("i")).dtypes[0][1] == "binary"
+    number = _bytes_as_number(ident, F.col("_skip")) if is_text else ident
     at = F.when(F.col("_by_time"), time).otherwise(number) - F.col("_from")
     part = F.coalesce(F.call_function("div", at, F.col("_width")), F.lit(0))
     return (
         rows.drop("_full").join(full, _same(groups), "left")
-        .withColumns({"_cell": F.col("_cell") * CELLS_PER_CUT + part, "_full": F.col("_width").isNotNull()})
-        .drop("_by_time", "_from", "_width", *[f"_{g}" for g in groups])
+        .withColumns({"_cell": F.when(F.col("_width").isNotNull(), F.array_append("_cell", part)).otherwise(F.col("_cell")),
+                      "_full": F.col("_width").isNotNull()})
+        .drop("_by_time", "_skip", "_from", "_width", *[f"_{g}" for g in groups])
     )
 
 

@@ -124,3 +124,26 @@ def test_open_gap(spark):
         "event_time", F.timestamp_micros("t"))
     as_of = F.timestamp_micros(F.lit(46_000_000))
     assert [r["k"] for r in ordered.open_gap(df, as_of, ["k"]).collect()] == ["a"]
+
+
+@pytest.mark.parametrize("prefix", ["", "payment-2024-", "é"])
+def test_text_ids_of_one_time_are_cut(spark, prefix):
+    rows = [("hot", 7, f"{prefix}{i:05d}{'x' * (i % 3)}", 1) for i in range(1000)] + [("hot", 7, None, 1), ("hot", 7, prefix, 1)]
+    df = spark.createDataFrame(rows, "k string, t bigint, id string, v bigint")
+    cells = ordered.with_cells(df, ["k"], ["t", "id"], hot_rows=100).groupBy("_cell").count()
+    assert cells.agg({"count": "max"}).first()[0] <= 100
+    got = ordered.position(df, ["k"], ["t", "id"], hot_rows=100).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(1, 1003))
+    assert [r["id"] for r in got] == sorted((r[2] for r in rows), key=lambda x: (x is not None, (x or "").encode()))
+
+
+def test_deep_bursts_are_cut_until_none_is_left(spark):
+    times = [10**9 * k for k in range(3)] + [10**15 + 10**5 * k for k in range(3)] + list(range(400)) + [10**18]
+    df = spark.createDataFrame([("hot", t, i, 1) for i, t in enumerate(times)], SCHEMA)
+    cells = ordered.with_cells(df, ["k"], ["t", "id"], hot_rows=40).groupBy("_cell").count()
+    assert cells.agg({"count": "max"}).first()[0] <= 40
+
+
+def test_equal_rows_of_a_hot_key_end_the_cutting(spark):
+    df = spark.createDataFrame([("hot", 1, 1, 1)] * 300, SCHEMA)
+    assert ordered.position(df, ["k"], ["t", "id"], hot_rows=100).count() == 300
