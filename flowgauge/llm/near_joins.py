@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from flowgauge.llm.components import components
 from flowgauge.llm.tables import by_slices, kept, partitions_for, plain_text
@@ -235,7 +235,9 @@ def representatives(docs: DataFrame, threshold: float = 0.8, width: int = 5, tar
     """One document of each class: the one whose id is the class id, and of repeated rows one. Rows with a null id
     stay, one of each text."""
     classes = near_duplicates(docs, threshold, width, target, id_column, text_column)
-    chosen = kept(classes.where(F.col(id_column) == F.col("class_id")).groupBy(id_column).count(), "chosen")
-    once, more = (docs.join(chosen.where(rows).select(id_column), id_column, "left_semi") for rows in ("count = 1", "count > 1"))
+    chosen = kept(classes.where(F.col(id_column) == F.col("class_id")).select(id_column).distinct(), "chosen")
+    # Texts are shuffled once at every size; repeated rows of an id then stand together.
+    nth = F.row_number().over(Window.partitionBy(id_column).orderBy(id_column))
+    named = docs.join(chosen.hint("merge"), id_column).withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
     loose = docs.where(F.col(id_column).isNull()).dropDuplicates([text_column])
-    return once.unionByName(more.dropDuplicates([id_column])).unionByName(loose).select(*docs.columns)
+    return named.unionByName(loose.select(*docs.columns))
