@@ -8,6 +8,8 @@ files that hold the same columns as a Kafka record.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from . import schemas
@@ -41,10 +43,15 @@ def topic_pattern(filter_text: str) -> str:
 
 def kafka_options(provider: dict, topic: str, *, pattern: bool = False, start: str = "latest",
                   headers: bool = True, max_per_batch: int | None = None) -> dict[str, str]:
-    """Reader options for a Kafka topic."""
+    """Reader options for a Kafka topic; ``start`` is earliest, latest, JSON of offsets, or a time in UTC."""
     options = {f"kafka.{k}": str(v) for k, v in provider.items() if k not in ("type", "path")}
     options["subscribePattern" if pattern else "subscribe"] = topic
-    options["startingOffsets"] = start
+    if start in ("earliest", "latest") or start.startswith("{"):
+        options["startingOffsets"] = start
+    else:
+        moment = datetime.fromisoformat(start)
+        moment = moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+        options["startingTimestamp"] = str(round(moment.timestamp() * 1000))
     options["includeHeaders"] = str(headers).lower()
     if max_per_batch:
         options["maxOffsetsPerTrigger"] = str(max_per_batch)
@@ -55,6 +62,8 @@ def read_topic(spark: SparkSession, provider: str | dict, topic: str, *, pattern
                start: str = "latest", stream: bool = True, max_per_batch: int | None = None) -> DataFrame:
     """Records of a topic (or of all topics matching a pattern) in Kafka's columns.
 
+    A batch cannot start at the latest offset: name another start for it.
+
     For file providers ``start`` may also be a timestamp text: only files
     modified since then are read, and ``latest`` stands for the present moment.
     A job that is to be resumed passes the moment of its first start, so that
@@ -64,8 +73,8 @@ def read_topic(spark: SparkSession, provider: str | dict, topic: str, *, pattern
     reader = spark.readStream if stream else spark.read
     if settings["type"] == "kafka":
         return reader.format("kafka").options(
-            **kafka_options(settings, topic, pattern=pattern, start=start if stream else "earliest",
-                            max_per_batch=max_per_batch)).load()
+            **kafka_options(settings, topic, pattern=pattern, start=start,
+                            max_per_batch=max_per_batch if stream else None)).load()
     reader = reader.schema(schemas.TOPIC_RECORD)
     if stream and max_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_per_batch)
@@ -114,6 +123,8 @@ def jdbc_options(url: str, table: str, driver: str, user: str | None = None, pas
                  *, partition_column: str | None = None, lower=None, upper=None,
                  partitions: int | None = None) -> dict[str, str]:
     """Reader or writer options for a database table; a partition column makes the read parallel."""
+    if partition_column and None in (lower, upper, partitions):
+        raise ValueError("a partition column needs its bounds and a number of partitions")
     options = {"url": url, "dbtable": table, "driver": driver}
     if user is not None:
         options["user"] = user
@@ -125,5 +136,8 @@ def jdbc_options(url: str, table: str, driver: str, user: str | None = None, pas
     return options
 
 
-def read_jdbc(spark: SparkSession, **kwargs) -> DataFrame:
+def read_jdbc(spark: SparkSession, small: bool = False, **kwargs) -> DataFrame:
+    """A database table; one read by a single task must be named ``small``."""
+    if not small and not kwargs.get("partition_column"):
+        raise ValueError("name a partition column, or say that the table is small")
     return spark.read.format("jdbc").options(**jdbc_options(**kwargs)).load()

@@ -34,6 +34,7 @@ def test_resume_goes_on_and_a_fresh_start_reads_again(spark, folder):
 def test_console(spark, folder, capfd):
     feed = Feed(spark, folder, SCHEMA).add([("shown", 1, 1)])
     jobs.run_available(feed.stream(), "console", fmt="console")
+    assert "shown" in capfd.readouterr().out
 
 
 def test_insert_into_a_table_and_update_mode(spark, folder):

@@ -58,6 +58,20 @@ def test_newer_schema_reads_older_rows(spark):
     assert sorted((r["a"], r["city"]) for r in records.read_as_newest([new, old]).collect()) == [(1, None), (2, "x")]
 
 
+def test_kafka_starts():
+    provider = {"type": "kafka", "bootstrap.servers": "h:1"}
+    assert readers.kafka_options(provider, "t", start="1970-01-01 00:00:02")["startingTimestamp"] == "2000"
+    assert "startingOffsets" not in readers.kafka_options(provider, "t", start="1970-01-01 00:00:02")
+    assert readers.kafka_options(provider, "t", start='{"t":{"0":5}}')["startingOffsets"] == '{"t":{"0":5}}'
+
+
+def test_large_tables_are_read_in_parts(spark):
+    with pytest.raises(ValueError):
+        readers.read_jdbc(spark, url="u", table="t", driver="d")
+    with pytest.raises(ValueError):
+        readers.jdbc_options("u", "t", "d", partition_column="id")
+
+
 def test_kafka_options():
     provider = {"type": "kafka", "bootstrap.servers": "h:9092", "security.protocol": "SSL"}
     got = readers.kafka_options(provider, "iot", start="earliest", max_per_batch=10)
