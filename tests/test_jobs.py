@@ -31,10 +31,12 @@ def test_resume_goes_on_and_a_fresh_start_reads_again(spark, folder):
     assert seen[2:] == [["a"], ["b"]]
 
 
-def test_console(spark, folder, capfd):
+def test_console(spark, folder):
     feed = Feed(spark, folder, SCHEMA).add([("shown", 1, 1)])
-    jobs.run_available(feed.stream(), "console", fmt="console")
-    assert "shown" in capfd.readouterr().out
+    job = jobs.start_job(feed.stream(), "console", every=None, fmt="console")
+    job.awaitTermination()
+    assert sum(p["numInputRows"] for p in job.recentProgress) == 1
+    assert "Console" in job.recentProgress[-1]["sink"]["description"]
 
 
 def test_insert_into_a_table_and_update_mode(spark, folder):
