@@ -3,8 +3,9 @@
 Learning uses a bounded sample of labelled rows (``Sample``); scoring covers every whole text.
 
 1. Words and their first three to six letters are counted in toxic and in clean texts, by the different
-   words that they follow, so copies of one text count once. Their smoothed log odds, less a margin for
-   small counts, label the words of toxic texts: toxic if a feature's odds are high, else clean.
+   runs of five words that they end, so copies of one text count once; no count is capped, and the totals
+   count the same runs. Their smoothed log odds, less a margin for small counts, label the words of toxic
+   texts: toxic if a feature's odds are high, else clean.
 2. The field has two labels, a weight for each feature and for each pair of neighbouring labels, trained by
    gradient on windows around words with known features and on plain windows.
 3. Forward-backward marginals of a text's words give two figures, the sum over words that are not plainly
@@ -30,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from flowgauge.llm.tables import by_slices
+from flowgauge.llm.words import runs
 
 WORD = re.compile(r"\w+")
 PREFIXES = (3, 4, 5, 6)
@@ -139,22 +141,30 @@ def _figures(p: np.ndarray) -> tuple[float, float]:
 
 
 def odds(texts: list[str], toxic: list[int]) -> dict[str, float]:
-    """Log odds of features, by the different words that they follow, less a margin for small counts."""
-    seen: list[dict[str, set[int]]] = [defaultdict(set), defaultdict(set)]
-    total = [1, 1]
+    """Log odds of features, by the different runs of five words that they end, less a margin for small counts."""
+    ids = {"": 0}
+    ends: list[list[np.ndarray]] = [[np.empty(0, np.uint64)], [np.empty(0, np.uint64)]]
+    hashes: list[list[np.ndarray]] = [[np.empty(0, np.uint64)], [np.empty(0, np.uint64)]]
     for text, label in zip(texts, toxic):
-        words = WORD.findall(text)
-        for before, word in set(zip(["", *words], words)):
-            total[label] += 1
-            for f in features(word):
-                after = seen[label][f]
-                if len(after) < 200:  # enough to tell; odds of more frequent ones are as good as settled
-                    after.add(hash(before))
+        at = np.array([0, 0, 0, 0, *(ids.setdefault(w, len(ids)) for w in WORD.findall(text))], np.uint64)
+        if len(at) > 4:
+            ends[label].append(at[4:])
+            hashes[label].append(runs(at, 5))
+    seen = []
+    for end, h in zip(ends, hashes):
+        first = np.unique(np.concatenate(h), return_index=True)[1]
+        seen.append(np.concatenate(end)[first].astype(np.int64))
+    total = [len(x) + 1 for x in seen]
+    count: list[dict[str, int]] = [defaultdict(int), defaultdict(int)]
+    for word, *found in zip(ids, *(np.bincount(x, minlength=len(ids)).tolist() for x in seen)):
+        for f in features(word):
+            for label in (0, 1):
+                count[label][f] += found[label]
     out = {}
-    for f, after in seen[1].items():
-        a, b = len(after) + 0.5, len(seen[0].get(f, ())) + 0.5
+    for f, n in count[1].items():
+        a, b = n + 0.5, count[0][f] + 0.5
         x = np.log(a / b) + np.log(total[0] / total[1]) - np.sqrt(1 / a + 1 / b)
-        if len(after) >= 3 and x > 1:
+        if n >= 3 and x > 1:
             out[f] = float(x)
     return out
 

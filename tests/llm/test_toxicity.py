@@ -56,6 +56,16 @@ def test_windows_agree_with_whole_texts(model):
     assert p == pytest.approx(whole[at], abs=1e-4)
 
 
+@pytest.mark.parametrize("number", [20, 60])
+def test_frequent_words_have_their_own_odds(number):
+    rnd = random.Random(8)
+    vocabulary = [f"{rnd.choice(GOOD)}{k}" for k in range(2000)]
+    text = lambda: " ".join(f"{rnd.choice(vocabulary)} the" for _ in range(60))
+    texts = [f"{text()} {rnd.choice(vocabulary)} zorkwit" for _ in range(number)] + [text() for _ in range(600)]
+    found = t.odds(texts, [1] * number + [0] * 600)
+    assert "zorkwit" in found and "the" not in found
+
+
 def test_new_texts_and_offsets(model):
     score, number, spans = t.scored(["the river and GRUMBLEFACE or Zorkwit grumblehand"], model, {})[0]
     assert score >= 0.7 and number >= 2 and "14:25" in spans.split(",") and "29:36" in spans.split(",")
