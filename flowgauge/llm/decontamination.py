@@ -8,6 +8,10 @@ the text minus place in the item) are one match. A match is a leak if it has ``e
 in a row), or 80 % of the windows of a short item, and if its slots are consistent: each value in the item
 stands for one value in the text throughout.
 
+Capitals tell no names in a text in capitals or in title case. So each text is also read with its names as plain
+lower-case words; a match is a leak by either reading, and one by the second has to be consistent in both. Only windows
+with a name differ between the readings.
+
 Only windows that a filter of fixed size (``FILTER_BITS``) lets through leave the tasks; it is filled from
 all windows of the benchmark, lets through each of them, and the join decides. So a large benchmark costs more
 candidates, never results. Null and empty texts have no windows and never leak. Repeated rows of the benchmark
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from flowgauge.llm.tables import by_slices, kept, plain_text
-from flowgauge.llm.words import runs
+from flowgauge.llm.words import runs, runs_at
 
 WINDOW, PLAIN, ENOUGH, SHARE = 8, 5, 6, 0.8
+#: Readings that a window belongs to: both, that with names as slots, or that with all words. A reading is the windows
+#: of all but one of these.
+BOTH, NAMES, WORDS = range(3)
+READINGS = [("a", WORDS), ("b", NAMES)]
 FILTER_BITS = 1 << 23
 REMEMBERED = 300_000
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n%$€£°]")
@@ -63,19 +72,21 @@ class Surfaces:
         return np.frombuffer(self.kinds, np.int8)[at], np.frombuffer(self.units, bool)[at], np.frombuffer(self.hashes, _U)[at]
 
 
-def template(text: str, surfaces: Surfaces) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The words of a text, their hashes with placeholders, and which words are slots."""
+def template(text: str, surfaces: Surfaces) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a text, their hashes with placeholders for numbers and units, which of them these are, and which
+    words are names."""
     tokens = _TOKEN.findall(text)
     if not tokens:
-        return [], np.empty(0, _U), np.empty(0, bool)
+        return [], np.empty(0, _U), np.empty(0, bool), np.empty(0, bool)
     kind, may, hashes = surfaces.of(tokens)
     number = kind == _NUMBER
     unit = may & np.concatenate(([False], number[:-1]))
     before = np.concatenate(([_MARK], kind[:-1]))
     name = (kind == _CAPITAL) & (before != _MARK) & ~unit
-    out = np.where(number, _SLOT["number"], np.where(unit, _SLOT["unit"], np.where(name, _SLOT["name"], hashes)))
+    out = np.where(number, _SLOT["number"], np.where(unit, _SLOT["unit"], hashes))
     keep = np.flatnonzero((kind != _MARK) & ((kind != _SIGN) | unit))
-    return [tokens[i] for i in keep] if len(keep) < 400 else _Picked(tokens, keep), out[keep], (number | unit | name)[keep]
+    words = [tokens[i] for i in keep] if len(keep) < 400 else _Picked(tokens, keep)
+    return words, out[keep], (number | unit)[keep], name[keep]
 
 
 class _Picked:
@@ -91,13 +102,21 @@ class _Picked:
         return [self.tokens[k] for k in self.keep[i]] if isinstance(i, slice) else self.tokens[self.keep[i]]
 
 
-def windows(words, hashes: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows of a width; a window of full width has five plain words at least."""
+def windows(hashes: np.ndarray, slot: np.ndarray, name: np.ndarray, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The reading, places and hashes of the windows of a width; a window of full width has five plain words at least."""
     if len(hashes) < width:
-        return np.empty(0, int), np.empty(0, _U)
-    plain = np.concatenate(([0], np.cumsum(~slot)))
-    at = np.flatnonzero(plain[width:] - plain[:-width] >= min(PLAIN, width))
-    return at, runs(hashes, width)[at] ^ _U(width)
+        return
+    counts = [np.concatenate(([0], np.cumsum(x))) for x in (slot, name)]
+    slots, names = (x[width:] - x[:-width] for x in counts)
+    plain, least = width - slots, min(PLAIN, width)
+    at = np.flatnonzero(plain - names >= least)
+    h = runs(np.where(name, _SLOT["name"], hashes), width)[at] ^ _U(width)
+    named = names[at] > 0
+    yield BOTH, at[~named], h[~named]
+    yield NAMES, at[named], h[named]
+    at = np.flatnonzero((names > 0) & (plain >= least))
+    if len(at):
+        yield WORDS, at, runs_at(hashes, at, width) ^ _U(width)
 
 
 def _slots(words, slot: np.ndarray, at: int, width: int) -> list[str]:
@@ -108,7 +127,7 @@ def _rows(found: list[tuple], id_type) -> pa.RecordBatch:
     columns = list(zip(*found)) if found else [()] * 6
     kinds = [id_type, pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                      names=["id", "at", "hash", "width", "slots", "words"])
+                                      names=["id", "at", "hash", "width", "slots", "reading"])
 
 
 def _windows_of(rows: DataFrame, widths: list[int] | None, passing=None) -> DataFrame:
@@ -120,21 +139,23 @@ def _windows_of(rows: DataFrame, widths: list[int] | None, passing=None) -> Data
         def apply(part: pa.RecordBatch) -> pa.RecordBatch:
             found = []
             for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
-                words, hashes, slot = template(text, surfaces)
+                words, hashes, slot, name = template(text, surfaces)
                 for width in widths or [max(1, min(WINDOW, len(words)))]:
-                    at, h = windows(words, hashes, slot, width)
-                    if bits is not None and len(h):
-                        place = h % _U(FILTER_BITS)
-                        some = (bits[(place >> _U(6)).astype(np.int64)] >> (place & _U(63))) & _U(1) == 1
-                        at, h = at[some], h[some]
-                    found += [(key, i, x, width, _slots(words, slot, i, width), len(words))
-                              for i, x in zip(at.tolist(), h.view(np.int64).tolist())]
+                    for reading, at, h in windows(hashes, slot, name, width):
+                        if bits is not None and len(h):
+                            place = h % _U(FILTER_BITS)
+                            some = (bits[(place >> _U(6)).astype(np.int64)] >> (place & _U(63))) & _U(1) == 1
+                            at, h = at[some], h[some]
+                        if len(at):
+                            shown = slot if reading == WORDS else slot | name
+                            found += [(key, i, x, width, _slots(words, shown, i, width), reading)
+                                      for i, x in zip(at.tolist(), h.view(np.int64).tolist())]
             return _rows(found, part.column("id").type)
         return apply
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(by_slices(make, "text", 1 << 20),
-                           f"id {kind}, at long, hash long, width int, slots array<string>, words int")
+                           f"id {kind}, at long, hash long, width int, slots array<string>, reading int")
 
 
 def _filter(hashes: DataFrame) -> np.ndarray:
@@ -159,21 +180,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text
     sent = docs.sparkSession.sparkContext.broadcast(_filter(items))
     found = _windows_of(docs.select(F.col(id_column).alias("id"), plain_text(text_column).alias("text")),
                         widths or [WINDOW], sent)
-    total = items.groupBy("id").agg(F.countDistinct("at").alias("windows"))
+    total = items.groupBy("id").agg(*[
+        F.countDistinct(F.when(F.col("reading") != left, F.col("at"))).alias(f"windows_{r}") for r, left in READINGS])
     asked = items.join(total, "id").select(
-        F.col("id").alias("item"), F.col("at").alias("item_at"), "hash", "width", F.col("slots").alias("item_slots"), "windows")
+        F.col("id").alias("item"), F.col("at").alias("item_at"), "hash", "width", F.col("slots").alias("item_slots"),
+        F.col("reading").alias("item_reading"), "windows_a", "windows_b")
     pairs = F.arrays_zip(F.col("item_slots").alias("asked"), F.col("slots").alias("given"))
     met = found.join(asked, ["hash", "width"]).withColumn("first", F.col("at") - F.col("item_at"))
-    matches = met.groupBy("id", "item", "first", "windows").agg(
-        F.countDistinct("item_at").alias("n"), F.min("at").alias("at"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    enough = (F.col("n") >= ENOUGH) | ((F.col("windows") < ENOUGH / SHARE) & (F.col("n") >= SHARE * F.col("windows")))
-    names = lambda c: F.transform(F.col("pairs"), lambda p: p[c])
-    consistent = F.size("pairs") == F.size(F.array_distinct(names("asked")))
-    return matches.where(enough & consistent).select(
-        F.col("id").alias(id_column), F.col("item").alias(item_column), F.col("at").alias("first_word"),
-        F.col("n").alias("n_windows"), (F.col("n") / F.col("windows")).alias("share"),
-        F.exists("pairs", lambda p: p["asked"] != p["given"]).alias("changed"))
+    each = []
+    for r, left in READINGS:
+        def of(value, left=left):
+            return F.when((F.col("reading") != left) & (F.col("item_reading") != left), value)
+        each += [F.countDistinct(of(F.col("item_at"))).alias(f"n_{r}"), F.min(of(F.col("at"))).alias(f"at_{r}"),
+                 F.array_distinct(F.flatten(F.collect_set(of(pairs)))).alias(f"pairs_{r}")]
+    matches = met.groupBy("id", "item", "first", "windows_a", "windows_b").agg(*each)
+    both = F.array_union("pairs_a", "pairs_b")
+
+    def leak(r, pairs):
+        n, of = F.col(f"n_{r}"), F.col(f"windows_{r}")
+        enough = (n >= ENOUGH) | ((of < ENOUGH / SHARE) & (n > 0) & (n >= SHARE * of))
+        return enough & (F.size(pairs) == F.size(F.array_distinct(F.transform(pairs, lambda p: p["asked"]))))
+
+    matches = matches.withColumn("by_a", leak("a", F.col("pairs_a"))).where(F.col("by_a") | leak("b", both))
+    chosen = lambda name: F.when(F.col("by_a"), F.col(f"{name}_a")).otherwise(F.col(f"{name}_b"))
+    return matches.select(
+        F.col("id").alias(id_column), F.col("item").alias(item_column), chosen("at").alias("first_word"),
+        chosen("n").alias("n_windows"), (chosen("n") / chosen("windows")).alias("share"),
+        F.exists(F.when(F.col("by_a"), F.col("pairs_a")).otherwise(both),
+                 lambda p: p["asked"] != p["given"]).alias("changed"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",

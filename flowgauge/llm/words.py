@@ -85,6 +85,14 @@ def runs(h: np.ndarray, width: int) -> np.ndarray:
     return z
 
 
+def runs_at(h: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """The hashes that ``runs`` gives at some places, of ``width`` values each."""
+    z = np.zeros(len(at), _U)
+    for k in range(width):
+        z = mixed(z * _U(0x9E3779B97F4A7C15) + h[at + k])
+    return z
+
+
 def shingles(text: str, width: int = 5) -> np.ndarray:
     """The distinct hashes of a text's word shingles, sorted."""
     return np.unique(runs(word_hashes(text), width))

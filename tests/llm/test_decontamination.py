@@ -46,6 +46,18 @@ def test_slots_in_two_places(spark, bench):
     assert found(make(spark, [(3, torn)]), bench) == []
 
 
+def test_capitals_tell_no_names(spark, bench):
+    docs = make(spark, [
+        (1, "BEFORE IT. " + ITEM.upper() + " AFTER IT."), (2, "Before It " + ITEM.title()), (3, SHORT.upper()),
+        (4, SHORT.title()), (5, ITEM.replace("40", "55").upper()), (6, "OTHER WORDS IN CAPITALS, MANY OF THEM IN A ROW."),
+        (7, ITEM.lower())])
+    assert found(docs, bench) == [
+        (1, 1, False), (2, 1, False), (3, 2, False), (4, 2, False), (5, 1, True), (7, 1, False)]
+    capitals = spark.createDataFrame([(1, ITEM.upper()), (2, SHORT.title())], "item_id long, text string")
+    assert found(make(spark, [(1, ITEM), (2, SHORT), (3, ITEM.title())]), capitals) == [
+        (1, 1, False), (2, 2, False), (3, 1, False)]
+
+
 def test_full_filter_changes_nothing(spark, bench, monkeypatch):
     docs = make(spark, [(1, "Some words. " + ITEM), (2, "Nothing of it here, only other words that stand in a row.")])
     few = found(docs, bench)
