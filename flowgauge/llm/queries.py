@@ -66,7 +66,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_spans.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return sentence_spans.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"), anywhere=True)
 
 
 @query

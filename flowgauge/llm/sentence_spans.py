@@ -2,9 +2,13 @@
 
 Sentences end at stops before white space and at line ends; one of more than ``LONG`` words is cut after every
 ``PIECE`` words. Each run of ``RUN`` consecutive sentences gives a span; a run of fewer than ``WORDS`` words takes in
-following sentences until it has so many, and one that the end of the text cuts short gives none. So a passage of
-50 words has a span, however it is divided. Spans are joined over all texts by a hash of 128 bits of their
-words. The first place of a span, by id and then by place in the text, stays; the words that any other place
+following sentences until it has so many, and one that the end of the text cuts short gives none. The ends of
+sentences and these cuts depend on what stands before a passage, so with ``anywhere`` there are also spans at places
+that the words choose: a place is chosen if the hash of its ``GRAM`` words is the smallest of ``NEAR`` places in a row, and its
+span ends with the words of the first chosen place that gives it ``WORDS`` words. The first ``NEAR`` places of a
+passage choose one at its 20th word at most, and ``NEAR`` places from eight words after that choose its end; so a
+passage of 50 words has a span, however it is divided and whatever stands around it. Spans are joined over all
+texts by a hash of 128 bits of their words. The first place of a span, by id and then by place in the text, stays; the words that any other place
 covers are removed, with what stands between them and the next word.
 
 Counting folds before it shuffles, so a span that a third of all texts hold is one row of each task. Places are
@@ -24,9 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from flowgauge.llm.tables import by_slices, kept
-from flowgauge.llm.words import mixed, words_and_sentences
+from flowgauge.llm.words import mixed, runs, words_and_sentences
 
 RUN, WORDS, LONG, PIECE = 3, 12, 24, 16
+GRAM, NEAR = 4, 20
 #: Words as ``words`` has them.
 _WORD = re.compile("[0-9A-Za-z_\u0080-\U0010ffff]+")
 _U = np.uint64
@@ -43,8 +48,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return _tables[base][:n]
 
 
-def spans(text: str) -> np.ndarray:
-    """A row for each span: high and low half of its hash, its first word and the word after it."""
+def chosen(h: np.ndarray) -> np.ndarray:
+    """The places whose words have the smallest hash, the first if equal, of ``NEAR`` places in a row."""
+    if len(h) < GRAM + NEAR - 1:
+        return np.empty(0, np.int64)
+    near = np.lib.stride_tricks.sliding_window_view(runs(h, GRAM), NEAR)
+    return np.unique(np.arange(len(near)) + near.argmin(1))
+
+
+def spans(text: str, anywhere: bool = False) -> np.ndarray:
+    """A row for each span, with ``anywhere`` those at chosen places too: high and low half of its hash, its first word and the word after it."""
     h, sentence = words_and_sentences(text)
     if not len(h):
         return np.empty((0, 4), np.int64)
@@ -57,7 +70,12 @@ def spans(text: str) -> np.ndarray:
     first = np.arange(len(edge) - RUN)
     stop = np.maximum(first + RUN, np.searchsorted(edge, edge[first] + WORDS)) if len(first) else first
     first, stop = first[stop < len(edge)], stop[stop < len(edge)]
-    a, b = edge[first], edge[stop]
+    at = chosen(h) if anywhere else np.empty(0, np.int64)
+    stop_at = np.searchsorted(at, at + WORDS - GRAM)
+    inside = stop_at < len(at)
+    a = np.concatenate([edge[first], at[inside]])
+    b = np.concatenate([edge[stop], at[stop_at[inside]] + GRAM])
+    a, b = np.unique(np.column_stack([a, b]), axis=0).T
     halves = []
     for salt, base in _HALVES:
         total = np.zeros(len(h) + 1, _U)
@@ -67,13 +85,13 @@ def spans(text: str) -> np.ndarray:
     return np.column_stack([*halves, a, b])
 
 
-def _found(rows: DataFrame) -> DataFrame:
+def _found(rows: DataFrame, anywhere: bool) -> DataFrame:
     """The spans of each text, and whether the text has had the span before."""
     def make():
         def apply(part: pa.RecordBatch) -> pa.RecordBatch:
             found, again, at = [np.empty((0, 4), np.int64)], [np.empty(0, bool)], []
             for i, text in enumerate(part.column("text").to_pylist()):
-                s = spans(text or "")
+                s = spans(text or "", anywhere)
                 seen = np.ones(len(s), bool)
                 seen[np.unique(s[:, 0], return_index=True)[1]] = False
                 found.append(s)
@@ -90,10 +108,11 @@ def _found(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(by_slices(make, "text", 1 << 20), f"id {kind}, high long, low long, a int, b int, again boolean")
 
 
-def repeated_places(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def repeated_places(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                    anywhere: bool = False) -> DataFrame:
     """id and word ranges (a to b, b exclusive) of the places of spans other than their first."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where("id IS NOT NULL")
-    found = _found(rows)
+    found = _found(rows, anywhere)
     often = kept(found.groupBy("high", "low").agg(F.min("id").alias("first"), F.max("id").alias("last"))
                  .where("first <> last").drop("last"), "often")
     across = found.where("NOT again").join(often, ["high", "low"]).where("id <> first").select("id", "a", "b")
@@ -111,11 +130,12 @@ def without(text: str, places: list[tuple[int, int]]) -> str:
     return "".join(out) + text[free:]
 
 
-def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                 anywhere: bool = False) -> DataFrame:
     """The documents with repeated spans removed from the text, and n_removed, the number of words that went (which
     takes the place of a column of that name)."""
     docs = docs.drop("n_removed", "_places")
-    places = repeated_places(docs, id_column, text_column).groupBy(F.col("id").alias(id_column)).agg(
+    places = repeated_places(docs, id_column, text_column, anywhere).groupBy(F.col("id").alias(id_column)).agg(
         F.collect_set(F.struct("a", "b")).alias("_places"))
     names = docs.columns
     joined = docs.join(kept(places, "places"), id_column, "left").select(*names, "_places")

@@ -79,6 +79,38 @@ def test_a_long_passage_goes_from_all_but_the_first(spark):
         assert all(w in got[10 * k] for w in re.findall(r"\w+", passage)) and not any(last)
 
 
+@pytest.mark.parametrize("ends", [(), (20, 40), (18, 36)])
+def test_a_passage_of_50_words_after_other_words(spark, ends):
+    rnd = random.Random(4)
+    words = lambda n: [f"v{rnd.randrange(10**6)}" for _ in range(n)]
+    passages = [words(50) for _ in range(20)]
+    docs = []
+    for k, passage in enumerate(passages):
+        shown = " ".join(w + "." * (n + 1 in ends) for n, w in enumerate(passage))
+        for i in range(3):
+            docs.append((10 * k + i, " ".join([*words(rnd.randrange(40)), shown, *words(rnd.randrange(1, 40))])))
+    got = {r.doc_id: r for r in s.deduplicated(make(spark, docs), anywhere=True).collect()}
+    for k, passage in enumerate(passages):
+        assert got[10 * k].n_removed == 0
+        for i in (1, 2):
+            gone = set(passage) - set(WORD.findall(got[10 * k + i].text))
+            assert len(gone) == got[10 * k + i].n_removed >= s.WORDS
+
+
+def test_every_repeated_passage_of_50_words_loses_some(spark, sf):
+    docs = table(spark, sf, "documents").where("doc_id IS NOT NULL")
+    places = {}
+    for r in s.repeated_places(docs, anywhere=True).collect():
+        places.setdefault(r.id, set()).update(range(r.a, r.b))
+    seen = set()
+    for i, text in sorted((r.doc_id, r.text or "") for r in docs.collect()):
+        h, _ = s.words_and_sentences(text)
+        for k in range(len(h) - 49):
+            passage = h[k : k + 50].tobytes()
+            assert passage not in seen or not places.get(i, set()).isdisjoint(range(k, k + 50))
+            seen.add(passage)
+
+
 def test_repeats_within_a_text(spark):
     block = "One two three four five. Six seven eight nine. Ten eleven twelve thirteen. "
     check(make(spark, [(1, block + block + "End of it all."), (2, "Something else. " + block)]))
