@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from flowgauge.llm import (
-    decontamination, fingerprints, licences, near_joins, personal_data, pieces, sentence_spans, shards, token_counts,
-    toxicity)
+    decontamination, fingerprints, licences, near_joins, oracles, personal_data, pieces, prefix_trie, projection_forest, sentence_spans,
+    shards, spelling_variants, token_counts, toxicity)
 from flowgauge.llm.tables import table
 
 QUERIES = {}
@@ -72,3 +72,24 @@ def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+SQL["op12_prefix_trie"] = oracles.TRIE
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+SQL["op13_spelling_variants"] = oracles.VARIANTS
