@@ -42,14 +42,16 @@ def _prefixed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def with_cells(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-               hot_rows: int = HOT_ROWS) -> DataFrame | None:
+               hot_rows: int | None = HOT_ROWS) -> DataFrame | None:
     """Add ``_cell``: empty for ordinary keys, else numbers that rise with the order of the key's rows.
 
     ``order`` starts with a bigint time; a second column of numbers or text is
     used to cut rows of one time.  Cells are cut until none is too full that
     has two different rows.  ``_hot`` marks the rows of hot keys.  ``None``
-    where no key is hot.
+    where no key is hot, or where the caller knows that (no ``hot_rows``).
     """
+    if hot_rows is None:
+        return None
     rows = df.withColumns({"_cell": F.array().cast("array<bigint>"), "_full": F.lit(True)})
     for cut in count():
         groups = [*keys, "_cell"]
@@ -129,7 +131,7 @@ def _cell_totals_before(rows: DataFrame, keys: Sequence[str], total: Column) ->
     return broadcast_if_small(written(_prefixed(before, [*keys, "_cell"]), "cell-totals"))[0]
 
 
-def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot_rows: int, total: Column) -> DataFrame:
+def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot_rows: int | None, total: Column) -> DataFrame:
     frame = lambda w: w.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = with_cells(df, keys, order, hot_rows)
     if rows is None:
@@ -144,13 +146,13 @@ def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
 
 
 def position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "position",
-             hot_rows: int = HOT_ROWS) -> DataFrame:
+             hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """1, 2, 3, … inside each key; ``order`` starts with a bigint time and ends with a unique id."""
     return _running(df, keys, order, out, hot_rows, F.count(F.lit(1)))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                out: str = "running_sum", hot_rows: int = HOT_ROWS) -> DataFrame:
+                out: str = "running_sum", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Sum of ``value`` up to and including each row, inside each key."""
     zeroed = df.withColumn("_value", F.coalesce(F.col(value), F.lit(0)))
     return _running(zeroed, keys, order, out, hot_rows, F.sum("_value")).drop("_value")
@@ -167,34 +169,67 @@ def count_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     return fold_count_windows(numbered, keys, value, size, carry)
 
 
+def _places(value: str, fields: Sequence[str], size: int) -> tuple[list[Column], Column]:
+    """Aggregates that pick the row of each place in a window, and the rows as structs that sort by value, then place.
+
+    One aggregate per place: plain values, so Spark aggregates by hash.
+    """
+    place = F.pmod(F.col("_position") - 1, F.lit(size).cast("bigint"))
+    picks = [F.max(F.when(place == i, F.col(c))).alias(f"_{i}_{c}") for i in range(size) for c in fields]
+    rows = F.array(*[
+        F.struct(F.col(f"_{i}_{value}").alias(value), F.lit(-i).alias("_place"),
+                 *[F.col(f"_{i}_{c}").alias(c) for c in fields[1:]])
+        for i in range(size)])
+    return picks, rows
+
+
 def fold_count_windows(numbered: DataFrame, keys: Sequence[str], value: str, size: int,
                        carry: Sequence[str]) -> DataFrame:
     """Windows of :func:`count_windows` from rows that carry their ``_position``."""
-    size_ = F.lit(size).cast("bigint")
-    window_no = F.call_function("div", F.col("_position") - 1, size_)
     fields = [value, *[c for c in carry if c != value]]
     if size <= 16:
-        # One aggregate per place in the window: plain values, so Spark aggregates by hash.
-        place = F.pmod(F.col("_position") - 1, size_)
-        picks = [F.max(F.when(place == i, F.col(c))).alias(f"_{i}_{c}") for i in range(size) for c in fields]
-        rows = F.array(*[
-            F.struct(F.col(f"_{i}_{value}").alias(value), F.lit(-i).alias("_place"),
-                     *[F.col(f"_{i}_{c}").alias(c) for c in fields[1:]])
-            for i in range(size)])
-        best = F.array_max(rows)
-    else:
-        picks = [F.max_by(F.struct(*fields), F.struct(F.col(value), -F.col("_position"))).alias("_best")]
-        best = F.col("_best")
+        return closed_windows(window_parts(numbered, keys, value, size, carry), keys, value, size, carry)
+    best = F.max_by(F.struct(*fields), F.struct(F.col(value), -F.col("_position"))).alias("_best")
     windows = (
-        numbered.groupBy(*keys, window_no.alias("window_no"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("sum_value"), *picks)
+        numbered.groupBy(*keys, _window_no(size))
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("sum_value"), best)
         .filter(F.col("_n") == size)
-        .select(*keys, "window_no", "sum_value", best.alias("_best"))
     )
+    return _best_row(windows, keys, value, carry)
+
+
+def _window_no(size: int) -> Column:
+    return F.call_function("div", F.col("_position") - 1, F.lit(size).cast("bigint")).alias("window_no")
+
+
+def _best_row(windows: DataFrame, keys: Sequence[str], value: str, carry: Sequence[str]) -> DataFrame:
     return windows.select(*keys, "window_no", "sum_value", F.col(f"_best.{value}").alias("max_value"),
                           *[F.col(f"_best.{c}").alias(f"max_{c}") for c in carry])
 
 
+def window_parts(numbered: DataFrame, keys: Sequence[str], value: str, size: int, carry: Sequence[str]) -> DataFrame:
+    """``window_no, _n, sum_value, _rows`` of every window of a key, the incomplete last one included."""
+    fields = [value, *[c for c in carry if c != value]]
+    if size <= 16:
+        picks, rows = _places(value, fields, size)
+        rows = F.slice(rows, 1, F.col("_n").cast("int"))  # the places of a window fill from the first
+    else:
+        row = F.struct(F.col("_position"), *fields)
+        picks = [F.sort_array(F.collect_list(row)).alias("_picked")]
+        rows = F.transform("_picked", lambda r: F.struct(
+            r[value].alias(value), (-r["_position"]).alias("_place"), *[r[c].alias(c) for c in fields[1:]]))
+    return (
+        numbered.groupBy(*keys, _window_no(size))
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("sum_value"), *picks)
+        .select(*keys, "window_no", "_n", "sum_value", rows.alias("_rows"))
+    )
+
+
+def closed_windows(parts: DataFrame, keys: Sequence[str], value: str, size: int, carry: Sequence[str]) -> DataFrame:
+    """The complete ones of :func:`window_parts`."""
+    return _best_row(parts.filter(F.col("_n") == size).withColumn("_best", F.array_max("_rows")), keys, value, carry)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    keep: Sequence[str] | None = None) -> DataFrame:
     """The last row of each key; each map task sends at most one row per key."""
@@ -203,17 +238,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return df.groupBy(*keys).agg(last.alias("_last")).select(*keys, *[F.col(f"_last.`{c}`").alias(c) for c in rest])
 
 
-def inactivity_gaps(df: DataFrame, keys: Sequence[str] = (), time: str = "event_time", threshold: int = 45,
-                    cells_per_chunk: int = 4096) -> DataFrame:
-    """Stretches longer than ``threshold`` seconds without a record, per key or overall.
-
-    Two records in one cell of ``threshold`` seconds are never further apart
-    than the threshold, so the rows are first folded to the first and last time
-    of each cell.  The order is then taken over cells in chunks, and over the
-    chunks' ends; nothing depends on a single task seeing all rows.
-
-    ``alerts`` is how often a monitor that repeats its message fires in a gap.
-    """
+def gaps_and_ends(df: DataFrame, keys: Sequence[str] = (), time: str = "event_time", threshold: int = 45,
+                  cells_per_chunk: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """Gaps of :func:`inactivity_gaps`, and the first and last time of each key in microseconds."""
     us = epoch_us(time)
     step = threshold * 1_000_000
     cell = floor_div(us, step)
@@ -225,6 +252,7 @@ def inactivity_gaps(df: DataFrame, keys: Sequence[str] = (), time: str = "event_
     in_chunk = Window.partitionBy(*keys, "_chunk").orderBy("_c")
     cells = cells.withColumn("_previous", F.lag("_last").over(in_chunk))
     chunks = cells.groupBy(*keys, "_chunk").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+    ends = chunks.groupBy(*keys).agg(F.min("_first").alias("first"), F.max("_last").alias("last"))
     # One row per chunk of cells_per_chunk * threshold seconds: 172 rows a year at the defaults.
     over_chunks = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_chunk")
     chunks = chunks.withColumn("_previous", F.lag("_last").over(over_chunks))
@@ -236,7 +264,21 @@ def inactivity_gaps(df: DataFrame, keys: Sequence[str] = (), time: str = "event_
         F.timestamp_micros("_first").alias("restored_at"),
         gap.alias("gap_us"),
         F.call_function("div", gap, F.lit(step).cast("bigint")).alias("alerts"),
-    )
+    ), ends
+
+
+def inactivity_gaps(df: DataFrame, keys: Sequence[str] = (), time: str = "event_time", threshold: int = 45,
+                    cells_per_chunk: int = 4096) -> DataFrame:
+    """Stretches longer than ``threshold`` seconds without a record, per key or overall.
+
+    Two records in one cell of ``threshold`` seconds are never further apart
+    than the threshold, so the rows are first folded to the first and last time
+    of each cell.  The order is then taken over cells in chunks, and over the
+    chunks' ends; nothing depends on a single task seeing all rows.
+
+    ``alerts`` is how often a monitor that repeats its message fires in a gap.
+    """
+    return gaps_and_ends(df, keys, time, threshold, cells_per_chunk)[0]
 
 
 def open_gap(df: DataFrame, as_of: Column, keys: Sequence[str] = (), time: str = "event_time",

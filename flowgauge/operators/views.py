@@ -20,10 +20,29 @@ def latest_state(df: DataFrame, keys: Sequence[str], order: Sequence[str], ignor
     """Last state per key; with ``ignore_nulls`` each column keeps its last non-null value."""
     if not ignore_nulls:
         return latest_per_key(df, keys, order)
-    at = F.struct(*[F.col(c) for c in order])
-    rest = [c for c in df.columns if c not in keys]
-    last = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c) for c in rest]
-    return df.groupBy(*keys).agg(*last)
+    fields = [c for c in df.columns if c not in keys]
+    return values_of(merge_registers(registers(df, fields, order), keys, fields), keys, fields)
+
+
+def registers(df: DataFrame, fields: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Each field as a register: its value under the order key it was written with, null where the value is null."""
+    at = F.struct(*[F.col(f"`{c}`").alias(c) for c in order])
+    return df.withColumns({c: F.when(F.col(f"`{c}`").isNotNull(), F.struct(at.alias("at"), F.col(f"`{c}`").alias("value")))
+                           for c in fields})
+
+
+def merge_registers(rows: DataFrame, keys: Sequence[str], fields: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the last writer of each field.  Any grouping of the rows gives the same.
+
+    Columns in ``newest`` keep their greatest value.
+    """
+    last = [F.max_by(F.col(f"`{c}`"), F.col(f"`{c}`.at")).alias(c) for c in fields]
+    return rows.groupBy(*keys).agg(*last, *[F.max(c).alias(c) for c in newest])
+
+
+def values_of(rows: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """The values that the registers hold."""
+    return rows.select(*keys, *[F.col(f"`{c}`.value").alias(c) for c in fields])
 
 
 def within_retention(df: DataFrame, as_of: Column, time: str, seconds: int = 300) -> DataFrame:

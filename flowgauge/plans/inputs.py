@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.epoch import epoch_us
+from ..functions.epoch import epoch_us, floor_div
 from ..sources.schemas import READING_WIRE, SENSOR_COLUMNS
 
 
@@ -23,16 +23,28 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-def feed(spark: SparkSession, sf_dir: str, name: str, time: str, folder: str, parts: int = 8) -> DataFrame:
-    """The table as a stream of several files in time order, one in each micro-batch."""
+FEED_FILE_ROWS = 10_000  # a part of fewer rows for each of its files is one file
+
+
+def feed(spark: SparkSession, sf_dir: str, name: str, time: str, folder: str, parts: int = 8, files: int = 8) -> DataFrame:
+    """The table as a stream in time order: ``parts`` micro-batches of up to ``files`` files each.
+
+    One pass over the table deals its rows to the parts; each part is then added in turn, by as many tasks as it
+    has files, as the file source takes files by their time of writing.
+    """
     rows = load(spark, sf_dir, name)
-    ends = rows.select(F.unix_micros(F.col(time).cast("timestamp")).alias("t")).agg(
-        F.min("t").alias("first"), F.max("t").alias("last")).first()
-    step = ((ends["last"] or 0) - (ends["first"] or 0)) // parts + 1
-    number = F.floor((F.unix_micros(F.col(time).cast("timestamp")) - (ends["first"] or 0)) / step)
-    for n in range(parts):  # the file source takes files by their time of writing
-        rows.filter(F.coalesce(number, F.lit(0)) == n).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    us = F.unix_micros(F.col(time).cast("timestamp"))
+    ends = rows.agg(F.min(us).alias("first"), F.max(us).alias("last")).first()
+    first, last = ends["first"] or 0, ends["last"] or 0
+    part = F.coalesce(floor_div(us - first, (last - first) // parts + 1), F.lit(0)).cast("int")
+    rows.withColumn("_part", part).write.partitionBy("_part").parquet(f"{folder}-parts")
+    dealt = spark.read.parquet(f"{folder}-parts")
+    sizes = {r["_part"]: r["count"] for r in dealt.groupBy("_part").count().collect()}
+    if min(sizes.values(), default=0) < FEED_FILE_ROWS * files:
+        files = 1
+    for n in sorted(sizes):
+        dealt.filter(F.col("_part") == n).select(*rows.columns).repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def sensor_value(i: int) -> Column:

@@ -73,8 +73,8 @@ def reading_table_rows(enriched: DataFrame) -> DataFrame:
 
 def enriched_sink(table_path: str, json_path: str, avro_path: str, failures: Sink | None = None,
                   health: PipelineModel | None = None, default_result: Column | None = None,
-                  avro_format: str = "avro", buckets: int = keyed.HASH_PARTITIONS) -> Sink:
-    """Topic records to: keyed table, JSON topic folder, Avro folder, and quarantine, from one pass.
+                  avro_format: str = "avro", buckets: int = keyed.HASH_PARTITIONS, monitor: Sink | None = None) -> Sink:
+    """Topic records to: keyed table, JSON topic folder, Avro folder, monitor, and quarantine, from one pass.
 
     Of several readings of one key in a batch the one with the greatest values
     is stored, so a repeated batch stores the same.  ``avro_format`` names
@@ -84,7 +84,7 @@ def enriched_sink(table_path: str, json_path: str, avro_path: str, failures: Sin
         parsed = records.parse_json(batch, schemas.READING_WIRE).persist()
         try:
             good, bad = records.split_parsed(parsed, ["sensor_id", "sensor_ts"])
-            sinks.fan_out(store, publish, avro)(with_health(good, health, default_result), batch_id)
+            sinks.fan_out(store, publish, avro, *([monitor] if monitor else []))(with_health(good, health, default_result), batch_id)
             if failures:
                 failures(bad, batch_id)
         finally:
@@ -162,13 +162,12 @@ def fraud_sink(topic_path: str, table_path: str, buckets: int = keyed.HASH_PARTI
 
 
 def replica_sink(table_path: str, log_path: str | None = None, keys: tuple[str, ...] = ("id",),
-                 compact_every: int = 50, buckets: int = keyed.HASH_PARTITIONS) -> Sink:
+                 buckets: int = keyed.HASH_PARTITIONS) -> Sink:
     """Change events (``op, before, after, ts, seq``) to a replica table and, if asked, a change log."""
     def replica(batch: DataFrame, batch_id: int) -> None:
         state = changes.apply_changes(batch, keys, ["ts", "seq"], keep_deleted=True)
-        keyed.write_changes(state, table_path, batch_id, keys, ["ts", "seq"], buckets, unique=True)
-        if batch_id and batch_id % compact_every == 0:
-            keyed.compact(batch.sparkSession, table_path, keys, ["ts", "seq"])
+        keyed.write_changes(state, table_path, batch_id, keys, buckets=buckets, unique=True)
+
     def log(batch: DataFrame, batch_id: int) -> None:
         events = changes.encode(batch, ["ts", "seq"])
         changes.to_change_json(events, keys).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
@@ -206,6 +205,7 @@ def dashboard(rows: DataFrame, as_of: Column) -> dict[str, DataFrame]:
     }
 
 
-def watch_readings(rows: DataFrame, threshold: int = 45) -> DataFrame:
+def watch_readings(path: str, threshold: int = 45, **options) -> Sink:
     """Inactivity messages for the whole stream of readings."""
-    return stateful.monitor_inactivity(rows, threshold)
+    watch = stateful.monitor_sink(path, threshold, **options)
+    return lambda d, n: watch(d.withColumn("event_time", epoch.timestamp_from_us("sensor_ts")), n)

@@ -283,7 +283,7 @@ def snk05(spark, sf):
     rows = _readings(spark, sf).select("sensor_id", "sensor_0", "sensor_ts", "reading_id")
     cut = F.unix_micros(F.lit("2024-01-15 00:00:00").cast("timestamp"))
     keyed.write_changes(rows.filter(F.col("sensor_ts") < cut), path, 0, ["sensor_id"], ORDER)
-    keyed.compact(spark, path, ["sensor_id"])
+    keyed.compact(spark, path, ["sensor_id"], upto=0)
     keyed.write_changes(rows.filter(F.col("sensor_ts") >= cut), path, 1, ["sensor_id"], ORDER)
     return keyed.read_keyed(spark, path, ["sensor_id"]).drop("reading_id")
 
@@ -292,7 +292,7 @@ def snk05(spark, sf):
 def snk05_stream(spark, sf):
     path = new_folder(spark, "upsert")
     rows = inputs.readings(_event_stream(spark, sf)).select("sensor_id", "sensor_0", "sensor_ts", "reading_id")
-    jobs.run_available(rows, "snk05", each_batch=keyed.upsert(path, ["sensor_id"], ORDER, table_order=ORDER))
+    jobs.run_available(rows, "snk05", each_batch=keyed.upsert(path, ["sensor_id"], ORDER))
     return keyed.read_keyed(spark, path, ["sensor_id"], ORDER).drop("reading_id")
 
 
@@ -383,12 +383,40 @@ def str10_stream(spark, sf):
     return views.read_view(spark, path, ["sensor_id"], ORDER)
 
 
-@query("str14_inactivity_monitor_stream", with_(READINGS) + f"""
-SELECT epoch_us(restored_at) AS at_us, gap_us AS silent_us, alerts AS alert FROM ({GAP.format(keys='', part='')})""")
+MONITOR_SQL = f"""
+SELECT monitor, 'restored' AS state, epoch_us(restored_at) AS at_us, gap_us AS silent_us, alerts AS alert, CAST(0 AS BIGINT) AS repeats
+FROM ({{gaps}})
+UNION ALL
+SELECT monitor, 'inactive', epoch_us(restored_at) - gap_us + 45000000, CAST(45000000 AS BIGINT), CAST(1 AS BIGINT), alerts
+FROM ({{gaps}})"""
+
+
+def told(messages: DataFrame) -> DataFrame:
+    """The messages, with those that a gap was told in taken together; gaps that are still open are left out."""
+    start = (F.col("at_us") - F.col("silent_us")).alias("from_us")
+    ended = messages.filter("state = 'restored'").select("monitor", start)
+    inactive = messages.filter("state = 'inactive'").select("*", start).join(ended, ["monitor", "from_us"]).groupBy(
+        "monitor", "state", "from_us").agg(F.min("at_us").alias("at_us"), F.min("silent_us").alias("silent_us"),
+                                           F.min("alert").alias("alert"), F.sum("repeats").alias("repeats")).drop("from_us")
+    return messages.filter("state = 'restored'").unionByName(inactive)
+
+
+@query("str14_inactivity_monitor_stream", with_(READINGS) + MONITOR_SQL.format(
+    gaps=f"SELECT 'all' AS monitor, * FROM ({GAP.format(keys='', part='')})"))
 def str14(spark, sf):
+    path = new_folder(spark, "monitor")
     rows = inputs.readings(_event_stream(spark, sf))
-    messages = _collected(stateful.monitor_inactivity(rows), "str14")
-    return messages.filter("state = 'restored'").select("at_us", "silent_us", "alert")
+    jobs.run_available(rows, "str14", each_batch=stateful.monitor_sink(path))
+    return told(stateful.read_messages(spark, path))
+
+
+@query("str14_inactivity_monitor_per_key_stream", with_(READINGS) + MONITOR_SQL.format(
+    gaps="SELECT CAST(sensor_id AS VARCHAR) AS monitor, * FROM (" + GAP.format(keys="sensor_id, ", part="PARTITION BY sensor_id ") + ")"))
+def str14_keys(spark, sf):
+    path = new_folder(spark, "monitor")
+    rows = inputs.readings(_event_stream(spark, sf))
+    jobs.run_available(rows, "str14-keys", each_batch=stateful.monitor_sink(path, key="sensor_id"))
+    return told(stateful.read_messages(spark, path))
 
 
 @query("jon06_frauds_stream", with_(TRANSACTIONS, CUSTOMERS, FRAUDS) + "SELECT * FROM frauds")
@@ -453,17 +481,47 @@ def pip01(spark, sf):
     return published.select(F.decode("key", "UTF-8").alias("key"), F.decode("value", "UTF-8").alias("value"), "topic")
 
 
+def _enriched(spark: SparkSession, sf: str) -> tuple[str, str, str, str]:
+    """Folders of all outputs of the enrichment job."""
+    source = inputs.topic_records(_event_stream(spark, sf))
+    table, out, avro, watch = (new_folder(spark, n) for n in ("sensors", "enriched", "enriched-avro", "watch"))
+    jobs.run_available(source, "pip02", each_batch=pipelines.enriched_sink(
+        table, out, avro, default_result=F.col("sensor_3") % 2, avro_format="parquet",
+        monitor=pipelines.watch_readings(watch)))
+    return table, out, avro, watch
+
+
 @query("pip02_enriched_table", with_(RECORDS) + f"""
 SELECT sensor_id, sensor_ts, {', '.join(f'CAST(sensor_{i} AS DOUBLE) AS sensor_{i}' for i in range(12))},
        coalesce(result, sensor_3 % 2) AS is_healthy FROM records""")
 def pip02(spark, sf):
-    source = inputs.topic_records(_event_stream(spark, sf))
-    table, out, avro = (new_folder(spark, n) for n in ("sensors", "enriched", "enriched-avro"))
-    jobs.run_available(source, "pip02", each_batch=pipelines.enriched_sink(
-        table, out, avro, default_result=F.col("sensor_3") % 2, avro_format="parquet"))
+    table, _, _, _ = _enriched(spark, sf)
     return keyed.read_keyed(spark, table, schemas.TABLE_KEYS["sensors"])
 
 
+ENRICHED = f"""
+SELECT sensor_id, sensor_ts, coalesce(result, sensor_3 % 2) AS is_healthy, coalesce(result, sensor_3 % 2) AS result, {SENSOR_LIST}
+FROM records"""
+
+
+@query("pip02_enriched_topic", with_(RECORDS) + ENRICHED)
+def pip02_topic(spark, sf):
+    _, out, _, _ = _enriched(spark, sf)
+    return rec.parse_json_flat(spark.read.parquet(out), schemas.READING_WIRE).select("*", "response.result").drop("response")
+
+
+@query("pip02_enriched_files", with_(RECORDS) + ENRICHED)
+def pip02_files(spark, sf):
+    _, _, avro, _ = _enriched(spark, sf)
+    return spark.read.parquet(avro).select("*", "response.result").drop("response", "batch_id")
+
+
+@query("pip02_monitor", with_(READINGS) + MONITOR_SQL.format(
+    gaps=f"SELECT 'all' AS monitor, * FROM ({GAP.format(keys='', part='')})"))
+def pip02_monitor(spark, sf):
+    return told(stateful.read_messages(spark, _enriched(spark, sf)[3]))
+
+
 @query("pip03_statistics_view", with_(READINGS, f"stats AS ({sliding_sql('device_id', PLAUSIBLE, CLOSED)})", LATEST_STATS) + """
 SELECT * FROM latest""")
 def pip03(spark, sf):
@@ -515,9 +573,10 @@ def cdc02_moves(spark, sf):
     one = lambda op, b, a, n: found.select(F.lit(op).alias("op"), b.alias("before"), a.alias("after"),
                                            F.lit(n).cast("bigint").alias("ts"), F.lit(n).cast("bigint").alias("seq"))
     path = new_folder(spark, "moved")
-    sink = pipelines.replica_sink(path, compact_every=1)
+    sink = pipelines.replica_sink(path)
     for n, batch in enumerate([one("c", nothing, before, 0), one("u", before, after, 1)]):
         sink(batch, n)
+    keyed.compact(spark, path, ["id"], ["ts", "seq"], upto=1)
     return pipelines.read_replica(spark, path)
 
 

@@ -1,3 +1,5 @@
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,20 +32,20 @@ def test_repeated_batch_replaces_itself(spark, folder):
         write(spark, folder, 0, [("a", 1, 1)])
         write(spark, folder, 1, [("a", 2, 2), ("c", 2, 5)])
     assert state(spark, folder) == {"a": 2, "c": 5}
-    assert spark.read.parquet(f"{folder}/changes").count() == 3
+    assert spark.read.parquet(f"{folder}/rows").count() == 3
 
 
 @pytest.mark.parametrize("order", [["batch_id"], ["t"]])
 def test_compaction_changes_nothing(spark, folder, order):
     write(spark, folder, 0, [("a", 5, 1), ("b", 5, 2)])
     write(spark, folder, 1, [("a", 6, 3)])
-    keyed.compact(spark, folder, ["k"], order)
+    keyed.compact(spark, folder, ["k"], order, upto=1)
     write(spark, folder, 2, [("b", 4, 7), ("c", 1, 8)])
     expected = {"a": 3, "b": 7 if order == ["batch_id"] else 2, "c": 8}
+    for upto in (None, 2, 2, None):
+        assert state(spark, folder, order) == expected
+        keyed.compact(spark, folder, ["k"], order, upto=upto)
     assert state(spark, folder, order) == expected
-    keyed.compact(spark, folder, ["k"], order)
-    assert state(spark, folder, order) == expected
-    keyed.compact(spark, folder, ["k"], order)
 
 
 def test_compaction_keeps_what_a_repeated_batch_needs(spark, folder):
@@ -51,11 +53,62 @@ def test_compaction_keeps_what_a_repeated_batch_needs(spark, folder):
         write(spark, folder, n, [("a", n, n), (f"k{n}", n, n)])
         if n in (1, 3, 5):
             keyed.compact(spark, folder, ["k"])
-    assert sorted(keyed._folders(spark, f"{folder}/base", "upto=")) == [3, 5]
-    assert sorted(keyed._folders(spark, f"{folder}/changes", "batch_id=")) == [4, 5, 6]
-    before = {r["k"]: r["v"] for r in keyed.read_keyed(spark, folder, ["k"], before=5).collect()}
-    assert before == {"a": 4, "k0": 0, "k1": 1, "k2": 2, "k3": 3, "k4": 4}
+    before = lambda n: {r["k"]: r["v"] for r in keyed.read_keyed(spark, folder, ["k"], before=n).collect()}
+    assert before(5) == {"a": 4, "k0": 0, "k1": 1, "k2": 2, "k3": 3, "k4": 4}
+    assert before(6)["a"] == 5
     assert state(spark, folder)["a"] == 6 and len(state(spark, folder)) == 8
+    bucket = keyed.touched(spark.createDataFrame([("a", 1, 1)], SCHEMA), ["k"], 4)[0]
+    versions = lambda: sorted(p["version"] for p in keyed.parts(spark, folder) if p["bucket"] == bucket)
+    # Batches 0 to 4 are folded into version 9; the parts stay for readers under way, batches 5 and 6 are whole.
+    assert versions()[-3:] == [9, 10, 12] and 8 in versions()
+    keyed.compact(spark, folder, ["k"])
+    assert versions() == [9, 10, 11, 12]
+
+
+def test_upsert_of_one_key_writes_one_bucket_and_compaction_only_full_ones(spark, folder):
+    write(spark, folder, 0, [(f"k{i}", i, i) for i in range(100)])
+    before = set(glob.glob(f"{folder}/rows/*/*/*/*.parquet"))
+    assert len(before) == 4
+    for n in (1, 2, 3):
+        write(spark, folder, n, [("k7", n, n)])
+    added = set(glob.glob(f"{folder}/rows/*/*/*/*.parquet")) - before
+    bucket, = keyed.touched(spark.createDataFrame([("k7", 1, 1)], SCHEMA), ["k"], 4)
+    assert len(added) == 3 and all(f"/bucket={bucket}/" in f for f in added)
+    assert keyed.compact(spark, folder, ["k"]) == [bucket]
+    assert {f for f in glob.glob(f"{folder}/rows/*/*/*/*.parquet") if "version=5" in f} == {
+        f for f in glob.glob(f"{folder}/rows/bucket={bucket}/version=5/*/*.parquet")} != set()
+    assert state(spark, folder)["k7"] == 3
+
+
+def test_fold_and_join_read_the_table_without_a_shuffle(spark, folder):
+    write(spark, folder, 0, [(f"k{i}", i, i) for i in range(100)])
+    write(spark, folder, 1, [("k7", 1, 1)])
+    table = keyed.read_keyed(spark, folder, ["k"])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(table) and "Bucketed: true" in plan(table)
+    batch = spark.createDataFrame([("k7", 9)], "k string, z int")
+    joined = plan(table.hint("merge").join(batch, "k"))
+    assert joined.count("Exchange") == 1 and "Join" in joined
+    assert table.join(batch, "k").count() == 1
+
+
+def test_only_the_buckets_of_a_batch_are_read(spark, folder):
+    write(spark, folder, 0, [(f"k{i}", i, i) for i in range(100)])
+    batch = spark.createDataFrame([("k7", 1, 1)], SCHEMA)
+    known = keyed.read_keyed(spark, folder, ["k"], only=keyed.touched(batch, ["k"], 4))
+    assert 0 < known.count() < 60
+    files = known.inputFiles()
+    bucket, = keyed.touched(batch, ["k"], 4)
+    assert len(files) == 1 and f"bucket={bucket}" in files[0]
+
+
+def test_table_opens_again_in_another_session(spark, folder):
+    write(spark, folder, 0, [("a", 1, 1), ("b", 1, 2)])
+    spark.sql(f"DROP TABLE {keyed._name(folder)}")
+    assert state(spark, folder) == {"a": 1, "b": 2}
+    spark.sql(f"DROP TABLE {keyed._name(folder)}")
+    write(spark, folder, 1, [("a", 2, 3)])
+    assert state(spark, folder) == {"a": 3, "b": 2}
 
 
 def test_state_before_a_batch(spark, folder):
@@ -96,8 +149,9 @@ def test_update_arriving_after_its_delete_does_not_revive_the_row(spark, folder)
 def test_deleted_keys_can_be_forgotten(spark, folder):
     sink = pipelines.replica_sink(folder)
     sink(event(spark, [("c", 1, "a", 1), ("d", 1, "a", 2), ("c", 2, "b", 1)]), 0)
-    keyed.compact(spark, folder, ["id"], ["ts", "seq"], forget_deleted=F.col("ts") < 10)
-    assert spark.read.parquet(f"{folder}/base").count() == 1
+    for _ in range(2):
+        keyed.compact(spark, folder, ["id"], ["ts", "seq"], forget=F.col("_deleted") & (F.col("ts") < 10), least=1, upto=0)
+    assert spark.read.parquet(f"{folder}/rows").count() == 1
     assert replica(spark, folder) == {2: "b"}
 
 
@@ -132,6 +186,53 @@ def test_view_retention_keeps_a_row_of_exactly_that_age(spark, folder):
     assert sorted(r["k"] for r in got.collect()) == ["a", "b"]
 
 
+def timed(spark, rows):
+    return spark.createDataFrame(rows, "k string, s bigint, a int").select("k", F.timestamp_seconds("s").alias("t"), "a")
+
+
+def test_expired_slots_leave_storage_whole(spark, folder):
+    sink = views.view_sink(folder, ["k"], ["t"])
+    sink(timed(spark, [("a", 100, 1), ("b", 100, 2), ("c", 550, 3)]), 0)
+    sink(timed(spark, [("a", 950, 4)]), 1)
+    stored = lambda: sorted((r["k"], r["a"]) for r in spark.read.parquet(f"{folder}/rows").collect())
+    assert len(stored()) == 4
+    views.expire(spark, folder, ["k"], ["t"], 1_000_000_000)       # all before 700 s goes by slots of 300 s
+    assert stored() == [("a", 4)]
+    assert [r["a"] for r in views.read_view(spark, folder, ["k"], ["t"]).collect()] == [4]
+
+
+def test_expired_keys_leave_a_view_that_ignores_nulls_and_old_values_of_live_keys_stay(spark, folder):
+    read = lambda: sorted((r["k"], r["a"]) for r in views.read_view(spark, folder, ["k"], ["t"], ignore_nulls=True).collect())
+    sink = views.view_sink(folder, ["k"], ["t"], True)
+    expire = lambda s: views.expire(spark, folder, ["k"], ["t"], s * 1_000_000, ignore_nulls=True)
+    for n, rows in enumerate([[("a", 100, 1), ("b", 100, 2)], [("a", 500, None)], [("a", 900, None), ("c", 900, 3)]]):
+        sink(timed(spark, rows), n)
+        expire(rows[0][1])
+    assert read() == [("a", 1), ("c", 3)]
+    sink(timed(spark, [("d", 1000, 4)]), 3)
+    size = lambda: spark.read.parquet(f"{folder}/rows").count()
+    before = size()
+    for _ in range(2):
+        expire(1000)
+    assert read() == [("a", 1), ("c", 3), ("d", 4)] and size() == 3 < before
+
+
+def test_registers_fold_in_any_grouping(spark):
+    import random
+
+    r = random.Random(3)
+    rows = [(r.choice("ab"), i, r.choice([None, i]), r.choice([None, -i])) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, t bigint, x int, y int")
+    fields = ["t", "x", "y"]
+    made = view_ops.registers(df, fields, ["t"])
+    merge = lambda d: view_ops.merge_registers(d, ["k"], fields)
+    whole = sorted(map(tuple, view_ops.values_of(merge(made), ["k"], fields).collect()))
+    parts = [merge(made.filter(F.pmod(F.hash("t"), F.lit(3)) == i)) for i in range(3)]
+    nested = merge(merge(parts[0].unionByName(parts[2])).unionByName(parts[1]))
+    assert sorted(map(tuple, view_ops.values_of(nested, ["k"], fields).collect())) == whole
+    assert whole == sorted(map(tuple, view_ops.latest_state(df, ["k"], ["t"], True).collect()))
+
+
 def test_view_requests(spark):
     assert view_ops.parse_request("above60withRange/{lowerTemp}/{upperTemp}", "above60withRange/1.5/2") == {
         "lowerTemp": 1.5, "upperTemp": 2.0}
@@ -178,9 +279,10 @@ def test_update_of_the_key_moves_the_row(spark, folder):
     rows = [("c", None, (1, "a"), 1, 1), ("u", (1, "a"), (2, "b"), 2, 2), ("u", (2, "b"), (2, "c"), 3, 3)]
     events = spark.createDataFrame(rows, f"op string, before {row}, after {row}, ts bigint, seq bigint")
     assert [tuple(r) for r in changes.apply_changes(events, ["id"], ["ts", "seq"]).collect()] == [(2, "c")]
-    sink = pipelines.replica_sink(folder, compact_every=1, buckets=3)
+    sink = pipelines.replica_sink(folder, buckets=3)
     for n in range(3):
         sink(events.filter(f"seq = {n + 1}"), n)
+        keyed.compact(spark, folder, ["id"], ["ts", "seq"])
     assert replica(spark, folder) == {2: "c"}
 
 
@@ -195,18 +297,17 @@ def test_numbers_as_text_are_ordered_as_numbers(spark, folder):
     assert keyed.read_keyed(spark, folder, ["k"]).first()["transaction_id"] == "1000"
 
 
-def test_table_is_scanned_once_and_files_do_not_follow_the_shuffle(spark, folder):
-    import glob
-    write(spark, folder, 0, [(f"k{i}", i, i) for i in range(500)])
+def test_files_do_not_follow_the_shuffle(spark, folder):
     spark.conf.set("spark.sql.shuffle.partitions", "32")
     try:
-        keyed.compact(spark, folder, ["k"])
+        write(spark, folder, 0, [(f"k{i}", i, i) for i in range(500)])
+        write(spark, folder, 1, [(f"k{i}", i, i) for i in range(500)])
+        assert keyed.compact(spark, folder, ["k"], upto=1) == [0, 1, 2, 3]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert len(glob.glob(f"{folder}/base/*/*/*.parquet")) == 4
-    write(spark, folder, 1, [("k1", 900, 900)])
+    assert len(glob.glob(f"{folder}/rows/*/version=3/*/*.parquet")) == 4
     plan = keyed.read_keyed(spark, folder, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 2 and "Join" not in plan
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
 
 
 def test_older_table_takes_new_columns(spark, folder):
