@@ -18,6 +18,32 @@ def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame, time: Column,
     return image.unionByName(changes.select("op", "before", "after", "ts", "seq"))
 
 
+def interleaved_snapshot(chunks: DataFrame, changes: DataFrame, keys: Sequence[str], low: str = "low",
+                         high: str = "high") -> DataFrame:
+    """A snapshot that was read chunk by chunk while changes went on, and the changes, as one log.
+
+    ``chunks`` has the rows of the table as they were read, each with the
+    positions of the log before (``low``) and after (``high``) its chunk was
+    read; a chunk is a range of keys.  What a row saw of the changes between
+    the two is unknown, so where its key changes between them the change wins
+    and the row is left out.  The others come as ``op = 'r'`` at the low mark:
+    before all changes that they may lack.  ``part`` puts them after the change
+    at that very position.  Events from the lowest mark on are enough.
+    """
+    fields = [c for c in chunks.columns if c not in (low, high)]
+    images = F.array_compact(F.array(F.col("before"), F.col("after")))
+    touched = changes.select(F.col("seq").alias("_seq"), F.explode(images).alias("_row")).select(
+        "_seq", *[F.col(f"_row.{k}").alias(f"_{k}") for k in keys])
+    between = (F.col("_seq") > F.col(low)) & (F.col("_seq") <= F.col(high))
+    for k in keys:
+        between = F.col(k).eqNullSafe(F.col(f"_{k}")) & between
+    row = F.struct(*[F.col(c) for c in fields])
+    nothing = F.lit(None).cast(changes.schema["before"].dataType)
+    read = chunks.join(touched, between, "left_anti").select(
+        F.lit("r").alias("op"), nothing.alias("before"), row.alias("after"), F.col(low).alias("seq"), F.lit(1).alias("part"))
+    return read.unionByName(changes.select("op", "before", "after", "seq", F.lit(0).alias("part")))
+
+
 def row_type(df: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
 

@@ -9,7 +9,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 # Feature order of training and scoring, and the tried settings.
 FEATURES = ["1", "0", "2", "3", "4", "5", "6", "7", "8", "9", "10", "11"]
@@ -20,19 +20,12 @@ def indexed_name(column: str) -> str:
     return f"{column}_indexed"
 
 
-def indexers(label: str = "12", column: str = "1") -> list:
-    """Indexers for one feature column and the label; unseen values get their own index.
+def index_columns(df: DataFrame, label: str = "12", column: str = "1") -> DataFrame:
+    """Index one feature column and the label; unseen values get their own index.
 
-    Both columns have few distinct values (a reading in small whole steps, and
-    a 0/1 flag); only those distinct values pass through the driver.
+    Both have few distinct values (a reading in small whole steps, and a 0/1
+    flag); only those distinct values pass through the driver.
     """
-    return [
-        StringIndexer(inputCol=column, outputCol=indexed_name(column), handleInvalid="keep"),
-        StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"),
-    ]
-
-
-def index_columns(df: DataFrame, label: str = "12", column: str = "1") -> DataFrame:
     stages = [StringIndexer(inputCol=column, outputCol=indexed_name(column), handleInvalid="keep"),
               StringIndexer(inputCol=label, outputCol="label", handleInvalid="keep")]
     return Pipeline(stages=stages).fit(df).transform(df)
@@ -43,6 +36,14 @@ def split_frame(df: DataFrame, train: float = 0.7, seed: int = 0) -> tuple[DataF
     return a, b
 
 
+def split_by_key(df: DataFrame, keys: Sequence[str], train: float = 0.7, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Split by a hash of the key: a row falls on the same side on any partitioning, in any table, and at any time."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys])
+    place = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    inside = place < int(train * (1 << 32))
+    return df.filter(inside), df.filter(~inside)
+
+
 def health_pipeline(trees: int = 20, depth: int = 20, label: str = "12", column: str = "1",
                     features: Sequence[str] = FEATURES, as_category: bool = False, max_bins: int = 32,
                     seed: int = 0) -> Pipeline:
@@ -86,6 +87,44 @@ def evaluate(scored: DataFrame, label: str = "12", score_col: str = "result") ->
         frame.unpersist()
 
 
+CELLS = 256
+
+
+def ranked_metrics(scored: DataFrame, label: str = "12", score_col: str = "result", cells: int = CELLS) -> DataFrame:
+    """Exact area under the ROC curve and average precision (mean of the precision at each step of recall), one row.
+
+    Rows are folded to one per score, so ties count half; the scores are cut at
+    quantiles into cells, the totals above a cell come from a table of cell
+    totals, and only the scores of one cell are ordered together.  Null where
+    one of the two classes is missing.
+    """
+    value = F.col(score_col).cast("double")
+    positive = F.coalesce(F.col(label).cast("double") > 0, F.lit(False))
+    folded = scored.filter(value.isNotNull()).groupBy(value.alias("s")).agg(
+        F.count_if(positive).alias("p"), F.count_if(~positive).alias("n"))
+    steps = [i / cells for i in range(1, cells)]
+    bounds = folded.agg(F.percentile_approx("s", steps, 100 * cells)).first()[0] or []
+    cell = F.lit(0)
+    if bounds:
+        cell = F.size(F.filter(F.array_distinct(F.lit(bounds)), lambda b: b <= F.col("s")))
+    folded = folded.withColumn("cell", cell)
+    totals = folded.groupBy("cell").agg(F.sum("p").alias("cp"), F.sum("n").alias("cn"))  # a row a cell
+    above = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
+    totals = totals.select("cell", F.coalesce(F.sum("cp").over(above), F.lit(0)).alias("ap"),
+                           F.coalesce(F.sum("cn").over(above), F.lit(0)).alias("an"),
+                           F.sum("cp").over(whole).alias("all_p"), F.sum("cn").over(whole).alias("all_n"))
+    inside = Window.partitionBy("cell").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = folded.join(F.broadcast(totals), "cell").withColumns({
+        "tp": F.col("ap") + F.sum("p").over(inside), "fp": F.col("an") + F.sum("n").over(inside)})
+    # Positives above each negative, those of the same score by half; doubled, so that all sums are whole.
+    pairs = F.sum((F.col("n") * (2 * F.col("tp") - F.col("p"))).cast("decimal(38,0)"))
+    precision = F.sum(F.col("p") * (F.col("tp") / (F.col("tp") + F.col("fp"))))
+    return placed.agg(pairs.alias("pairs"), precision.alias("precision"), F.max("all_p").alias("all_p"), F.max("all_n").alias("all_n")).select(
+        (F.col("pairs").cast("double") / F.nullif(2.0 * F.col("all_p") * F.col("all_n"), F.lit(0.0))).alias("auroc"),
+        F.when(F.col("all_n") > 0, F.col("precision") / F.nullif(F.col("all_p"), F.lit(0))).alias("ap"))
+
+
 def importances(model: PipelineModel, features: Sequence[str] = FEATURES) -> dict[str, float]:
     """Feature importances by name."""
     return dict(zip(features, model.stages[-1].featureImportances.toArray().tolist()))

@@ -143,13 +143,19 @@ def by_number(column: str) -> list[Column]:
 
 
 def payments_sink(transactions_path: str, suspects_path: str, table_path: str, threshold: float = 0.90,
-                  buckets: int = keyed.HASH_PARTITIONS) -> Sink:
-    """Scored payments to two topic folders and the keyed table."""
-    return sinks.routed(payment_routes(threshold), {
+                  buckets: int = keyed.HASH_PARTITIONS, retry_path: str | None = None, **retry) -> Sink:
+    """Scored payments to two topic folders and the keyed table.
+
+    With ``retry_path`` the writes of each that fail are kept there and tried again.
+    """
+    outputs = {
         "flattened": sinks.file_batch(transactions_path, shape=lambda d: sinks.json_records(d, "transactions")),
         "to_kudu": keyed.upsert(table_path, schemas.TABLE_KEYS["transactions"], buckets=buckets, by=by_number("transaction_id")),
         "likely_fraud": sinks.file_batch(suspects_path, shape=lambda d: sinks.json_records(d, "fraud_suspects")),
-    })
+    }
+    if retry_path:
+        outputs = {name: sinks.retrying(sink, f"{retry_path}/{name}", **retry) for name, sink in outputs.items()}
+    return sinks.routed(payment_routes(threshold), outputs)
 
 
 def fraud_sink(topic_path: str, table_path: str, buckets: int = keyed.HASH_PARTITIONS) -> Sink:

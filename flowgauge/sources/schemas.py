@@ -29,16 +29,9 @@ READING_TABLE = T.StructType(
 )
 
 TRANSACTION_RAW = "ts string, account_id string, transaction_id string, amount int, lat double, lon double"
-TRANSACTION_STREAM = (
-    "ts bigint, account_id string, transaction_id string, amount int, lat double, lon double, "
-    "fraud_score double, model_response struct<fraud_score:double>"
-)
 TRANSACTION_TABLE = (
     "ts string, acc_id string, transaction_id string, amount bigint, lat double, lon double, fraud_score double"
 )
-CUSTOMER_TABLE = (
-    "acc_id string, f_name string, l_name string, email string, gender string, phone string, card string"
-)
 FRAUD_COLUMNS = [
     "event_time", "diff_ms", "account_id", "txn1_id", "txn2_id", "amount", "lat", "lon", "lat1", "lon1",
     "distance", "f_name", "l_name", "email", "card", "gender", "phone",
@@ -55,8 +48,6 @@ TOPIC_RECORD = (
     "headers array<struct<key:string,value:binary>>"
 )
 CHANGE_ROW = "id bigint, name string"
-CHANGE_EVENT = f"before struct<{CHANGE_ROW.replace(' ', ':').replace(',:', ',')}>, " \
-               f"after struct<{CHANGE_ROW.replace(' ', ':').replace(',:', ',')}>, op string, ts_ms bigint"
 
 # Key columns of the stored tables.
 TABLE_KEYS = {

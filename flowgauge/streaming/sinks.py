@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.epoch import epoch_us, floor_div
 from ..sources.schemas import struct_to_avsc
@@ -96,6 +98,69 @@ def fan_out(*sinks: Callable[[DataFrame, int], None], prepare: Callable[[DataFra
     return write
 
 
+RETRY_LOG = "batch_id bigint, attempt int, outcome string, at_s double, next_s double, error string"
+
+
+def retrying(sink: Callable[[DataFrame, int], None], path: str, attempts: int = 3,
+             wait_s: Callable[[int], float] = lambda attempt: 5.0 * 2 ** attempt,
+             now: Callable[[], float] = time.time) -> Callable[[DataFrame, int], None]:
+    """A sink whose failed writes are kept and tried again, and do not stop the stream.
+
+    The rows of a micro-batch that fails are written below ``path/rows``, and
+    each attempt is a row of ``path/log`` with the time of the next one.  Every
+    later micro-batch first tries what is due, under its own batch id, so a
+    sink that replaces itself by batch id loses and doubles nothing.  After
+    ``attempts`` failures a batch is a dead letter (:func:`dead_letters`).  Do
+    not compact a keyed table beyond the oldest of :func:`waiting_batches`.
+    """
+    def attempt(rows: DataFrame, batch_id: int, number: int) -> None:
+        spark = rows.sparkSession
+        try:
+            sink(rows, batch_id)
+            outcome, error = "written", None
+        except Exception as failure:  # whatever the sink raises is a failed write
+            outcome, error = ("dead" if number >= attempts else "failed"), str(failure)[:2000]
+            if number == 1:
+                rows.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        if outcome != "written" or number > 1:
+            line = (batch_id, number, outcome, now(), now() + wait_s(number), error)
+            spark.createDataFrame([line], RETRY_LOG).coalesce(1).write.mode("overwrite").json(
+                f"{path}/log/of={batch_id}/try={number}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        for row in last_attempts(spark, path).filter("outcome = 'failed'").orderBy("batch_id").collect():
+            if row["batch_id"] != batch_id and row["next_s"] <= now():
+                attempt(spark.read.parquet(f"{path}/rows/batch_id={row['batch_id']}"), row["batch_id"], row["attempt"] + 1)
+        attempt(batch, batch_id, 1)
+    return write
+
+
+def last_attempts(spark: SparkSession, path: str) -> DataFrame:
+    """The last attempt of each micro-batch that has failed; one row for each."""
+    try:
+        log = spark.read.schema(RETRY_LOG).json(f"{path}/log").select(*[c.split()[0] for c in RETRY_LOG.split(", ")])
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RETRY_LOG)
+    last = F.max_by(F.struct(*[c for c in log.columns if c != "batch_id"]), "attempt")
+    return log.groupBy("batch_id").agg(last.alias("last")).select("batch_id", "last.*")
+
+
+def waiting_batches(spark: SparkSession, path: str) -> list[int]:
+    """Micro-batches that will be tried again."""
+    return sorted(r["batch_id"] for r in last_attempts(spark, path).filter("outcome = 'failed'").collect())
+
+
+def dead_letters(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows that were given up, with ``batch_id`` and the ``error`` of the last attempt."""
+    dead = last_attempts(spark, path).filter("outcome = 'dead'").select("batch_id", "error")
+    if dead.isEmpty():
+        return None
+    return spark.read.parquet(f"{path}/rows").withColumn("batch_id", F.col("batch_id").cast("bigint")).join(dead, "batch_id")
+
+
 def routed(outputs: Mapping[str, Callable[[DataFrame], DataFrame]],
            sinks: Mapping[str, Callable[[DataFrame, int], None]], skip_empty: bool = True):
     """Sinks by the name of the route that feeds each."""

@@ -14,9 +14,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     session = get_spark("tests", "local[4]", **{
         "spark.sql.shuffle.partitions": "4",
-        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"})
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
