@@ -11,9 +11,10 @@ passage of 50 words has a span, however it is divided and whatever stands around
 texts by a hash of 128 bits of their words. The first place of a span, by id and then by place in the text, stays; the words that any other place
 covers are removed, with what stands between them and the next word.
 
-Counting folds before it shuffles, so a span that a third of all texts hold is one row of each task. Places are
-joined with repeated spans only, and a hot span's places are split by Spark's skew handling. A span's later
-places in its own text need no join.
+The spans are made once and kept as a table of narrow rows. Counting folds before it shuffles, so a span that a
+third of all texts hold is one row of each task. Places are joined with repeated spans only, behind a filter of
+fixed size (``FILTER_BITS``) that leaves most other places where they are; the join decides. A hot span's places
+are split by Spark's skew handling. A span's later places in its own text need no join.
 
 Null and empty texts and texts without a span stay as they are, and so do rows with a null id. Repeated rows of
 one id count as one text: they stay or go alike. Other columns are kept.
@@ -32,6 +33,8 @@ from flowgauge.llm.words import mixed, runs, words_and_sentences
 
 RUN, WORDS, LONG, PIECE = 3, 12, 24, 16
 GRAM, NEAR = 4, 20
+#: Bits of the filter (16 MB); a bit of half a hash for each repeated span.
+FILTER_BITS = 1 << 27
 #: Words as ``words`` has them.
 _WORD = re.compile("[0-9A-Za-z_\u0080-\U0010ffff]+")
 _U = np.uint64
@@ -108,14 +111,40 @@ def _found(rows: DataFrame, anywhere: bool) -> DataFrame:
     return rows.mapInArrow(by_slices(make, "text", 1 << 20), f"id {kind}, high long, low long, a int, b int, again boolean")
 
 
+def _filter(hashes: DataFrame) -> np.ndarray:
+    """Bytes that hold a bit for each value of ``high``; the driver receives FILTER_BITS / 8 bytes at most."""
+    place = F.col("high").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1  # Spark's bitmaps, of 4,096 bytes, begin with 1
+    parts = hashes.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    out = np.zeros(FILTER_BITS // 8 + 4096, np.uint8)
+    for row in parts.toLocalIterator():
+        begin = (row["part"] - 1) * 4096
+        out[begin : begin + 4096] |= np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def _passing(sent):
+    """For ``mapInArrow``: the rows whose bit is set."""
+    def run(batches):
+        bits = sent.value
+        for part in batches:
+            place = part.column("high").to_numpy() & (FILTER_BITS - 1)
+            some = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1
+            yield part.filter(pa.array(some.astype(bool)))
+    return run
+
+
 def repeated_places(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                     anywhere: bool = False) -> DataFrame:
     """id and word ranges (a to b, b exclusive) of the places of spans other than their first."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where("id IS NOT NULL")
-    found = _found(rows, anywhere)
+    found = kept(_found(rows, anywhere), "spans")
     often = kept(found.groupBy("high", "low").agg(F.min("id").alias("first"), F.max("id").alias("last"))
                  .where("first <> last").drop("last"), "often")
-    across = found.where("NOT again").join(often, ["high", "low"]).where("id <> first").select("id", "a", "b")
+    sent = docs.sparkSession.sparkContext.broadcast(_filter(often))
+    places = found.where("NOT again").select("id", "high", "low", "a", "b")
+    likely = places.mapInArrow(_passing(sent), places.schema)
+    across = likely.join(often, ["high", "low"]).where("id <> first").select("id", "a", "b")
     return across.unionByName(found.where("again").select("id", "a", "b"))
 
 

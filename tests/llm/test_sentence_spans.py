@@ -33,12 +33,25 @@ def spans(text):
             yield tuple(w for x in parts[i:j] for w in x), edge[i], edge[j]
 
 
-def expected(rows):
+def spans_at_chosen_places(text):
+    """Spans that begin at a place whose words have the smallest hash of some places in a row, and end with such words."""
+    words = [w for part in sentences(text) for w in part]
+    h, _ = s.words_and_sentences(text)
+    grams = [int(s.runs(h[k : k + s.GRAM], s.GRAM)[0]) for k in range(len(h) - s.GRAM + 1)]
+    places = sorted({min(range(k, k + s.NEAR), key=lambda x: (grams[x], x)) for k in range(len(grams) - s.NEAR + 1)})
+    for a in places:
+        ends = [p + s.GRAM for p in places if p + s.GRAM >= a + s.WORDS]
+        if ends:
+            yield tuple(words[a : ends[0]]), a, ends[0]
+
+
+def expected(rows, anywhere=False):
     """Words that go, by id."""
     seen, out = set(), {}
     for i, text in sorted(rows):
         gone, own = set(), set()
-        for words, a, b in spans(text or ""):
+        found = [*spans(text or ""), *(spans_at_chosen_places(text or "") if anywhere else ())]
+        for words, a, b in sorted(set(found), key=lambda x: x[1:]):
             if words in seen or words in own:
                 gone |= set(range(a, b))
             own.add(words)
@@ -47,10 +60,10 @@ def expected(rows):
     return out
 
 
-def check(docs):
+def check(docs, anywhere=False):
     rows = {r.doc_id: r.text for r in docs.collect()}
-    want = expected(rows.items())
-    got = {r.doc_id: r for r in s.deduplicated(docs).collect()}
+    want = expected(rows.items(), anywhere)
+    got = {r.doc_id: r for r in s.deduplicated(docs, anywhere=anywhere).collect()}
     for i, gone in want.items():
         words = WORD.findall(rows[i] or "")
         assert got[i].n_removed == len(gone)
@@ -59,8 +72,18 @@ def check(docs):
             assert got[i].text == rows[i]
 
 
-def test_whole_table(spark, sf):
-    check(table(spark, sf, "documents"))
+@pytest.mark.parametrize("anywhere", [False, True])
+def test_whole_table(spark, sf, anywhere):
+    check(table(spark, sf, "documents"), anywhere)
+
+
+@pytest.mark.parametrize("bits", [1 << 27, 32768 * 8, 1 << 12])
+def test_the_filter_only_saves_work(spark, sf, monkeypatch, bits):
+    monkeypatch.setattr(s, "FILTER_BITS", bits)
+    docs = table(spark, sf, "documents").where("doc_id < 60")
+    want = expected([(r.doc_id, r.text) for r in docs.collect()], True)
+    got = {r.doc_id: r.n_removed for r in s.deduplicated(docs, anywhere=True).collect()}
+    assert got == {i: len(gone) for i, gone in want.items()}
 
 
 def test_a_long_passage_goes_from_all_but_the_first(spark):
@@ -113,7 +136,8 @@ def test_every_repeated_passage_of_50_words_loses_some(spark, sf):
 
 def test_repeats_within_a_text(spark):
     block = "One two three four five. Six seven eight nine. Ten eleven twelve thirteen. "
-    check(make(spark, [(1, block + block + "End of it all."), (2, "Something else. " + block)]))
+    for anywhere in (False, True):
+        check(make(spark, [(1, block + block + "End of it all."), (2, "Something else. " + block)]), anywhere)
 
 
 def test_messy_rows(messy, no_rows):
