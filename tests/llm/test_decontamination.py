@@ -58,6 +58,32 @@ def test_capitals_tell_no_names(spark, bench):
         (1, 1, False), (2, 2, False), (3, 1, False)]
 
 
+NUMBERS = ["What is 12 plus 30?", "Compute 3 4 5 6 7 8 9 10 11 12", "Who wrote 1984?", "12 + 7 = 19",
+           "Add 3 km, 4 km, 5 km, 6 km, 7 km, 8 km, 9 km, 10 km and 11 km."]
+
+
+def test_items_full_of_numbers_are_found_word_by_word(spark):
+    items = spark.createDataFrame(list(enumerate(NUMBERS)), "item_id long, text string")
+    docs = make(spark, [(k, f"Some words first. {x} And some after.") for k, x in enumerate(NUMBERS)] + [
+        (10, "Some words first. Compute 3 4 5 6 7 8 9 10 11 13 and more"), (11, "What is 13 plus 30? Who wrote 1985?"),
+        (12, "compute 3 4 5 6 7 8 9 10 11 12 in lower case"), (13, "3 4 5 6 7 8 9 10"), (14, "who, wrote: 1984")])
+    assert found(docs, items) == [
+        (0, 0, False), (1, 1, False), (2, 2, False), (3, 3, False), (4, 4, False), (12, 1, False), (14, 2, False)]
+
+
+def test_values_stand_in_for_items_without_other_windows_only(spark):
+    items = spark.createDataFrame([(1, ITEM + " 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16")], "item_id long, text string")
+    docs = make(spark, [(1, "Count: 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16"), (2, ITEM)])
+    assert found(docs, items) == [(2, 1, False)]
+
+
+def test_items_are_told_apart_by_their_texts(spark):
+    rows = [(None, ITEM), (7, SHORT), (7, "Another question, which is about some other thing altogether, is it not so?"), (8, SHORT)]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    got = d.leaks(make(spark, [(1, ITEM), (2, SHORT), (3, rows[2][1])]), items).collect()
+    assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == [(1, None), (2, 7), (2, 8), (3, 7)]
+
+
 def test_full_filter_changes_nothing(spark, bench, monkeypatch):
     docs = make(spark, [(1, "Some words. " + ITEM), (2, "Nothing of it here, only other words that stand in a row.")])
     few = found(docs, bench)
