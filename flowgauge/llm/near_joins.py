@@ -1,6 +1,7 @@
 """N-gram Jaccard self join: a MinHash LSH forest finds candidates, which are then compared exactly.
 
-Texts of equal word sequences form one class, which its smallest id stands for; only these are compared. Each
+Texts of equal word sequences form one class, which one of its rows stands for; only these are compared, under a
+number of their own, so that one id may have several texts. Each
 tree of the forest sorts the texts by a label of several MinHash values of their word shingles, and texts
 that share a prefix of the label are candidates. Prefixes begin at the whole label and are shortened value by
 value until a pair at the threshold is found with the target recall (``prefix_length``).
@@ -185,22 +186,40 @@ def _compared(batches, width: int, threshold: float):
         yield batch(result(held))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, target: float = 0.999,
-                    id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """class_id (smallest id of the texts it is linked with, directly or not), copy_id (smallest id of equal word
-    sequences), n_copies (rows of that) and n_links (other word sequences that reach the threshold) of each document."""
-    ids = docs.select(F.col(id_column).cast("long").alias("id"), plain_text(text_column).alias("text"))
+def _sequence(text: str) -> bytes:
+    """A hash of 128 bits of a word sequence."""
+    return xxhash.xxh3_128_digest(word_hashes(text).tobytes())
+
+
+def _own_texts(rows: DataFrame) -> DataFrame:
+    """The rows whose ``text`` has the word sequence that ``high`` and ``low`` say."""
+    def make():
+        def apply(part: pa.RecordBatch) -> pa.RecordBatch:
+            same = []
+            for text, high, low in zip(*[part.column(c).to_pylist() for c in ("text", "high", "low")]):
+                sequence = _sequence(text or "")
+                same.append((int.from_bytes(sequence[:8], "big", signed=True),
+                             int.from_bytes(sequence[8:], "big", signed=True)) == (high, low))
+            return part.filter(pa.array(same, pa.bool_()))
+        return apply
+    return rows.mapInArrow(by_slices(make, "text", 1 << 20), rows.schema)
+
+
+def _classes(docs: DataFrame, threshold: float, width: int, target: float, id_column: str, text_column: str) -> DataFrame:
+    """id, high, low (of the word sequence), class_id, copy_id, n_copies, n_links, and whether the row's sequence stands
+    for its class, of each document."""
+    ids = docs.select(F.col(id_column).alias("id"), plain_text(text_column).alias("text"))
     signed = kept(_signatures(ids, "id", "text", width, prefix_length(threshold, target)), "signatures")
     reps = kept(signed.groupBy("high", "low").agg(
         F.min("id").alias("id"), F.count("*").alias("copies"), F.max("n").alias("n"),
-        *[F.max(k).alias(k) for k in _KEYS]), "classes")
+        *[F.max(k).alias(k) for k in _KEYS]).withColumn("node", F.monotonically_increasing_id()), "classes")
 
     full = reps.where("n > 0 AND id IS NOT NULL")
-    keyed = full.select("id", F.posexplode(F.array(*_KEYS)).alias("tree", "key"))
+    keyed = full.select("node", F.posexplode(F.array(*_KEYS)).alias("tree", "key"))
     often = keyed.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
     met = kept(keyed.join(often.select("key"), "key"), "met")
     # Groups whose texts all meet in an earlier tree are left out; the others get their number of blocks.
-    groups = met.join(full, "id").groupBy("key", "tree").agg(
+    groups = met.join(full, "node").groupBy("key", "tree").agg(
         F.count("*").alias("rows"), F.sum("n").alias("shingles"),
         *[(F.min(k) == F.max(k)).alias(k) for k in _KEYS])
     earlier = F.exists(F.slice(F.array(*_KEYS), F.lit(1), F.col("tree")), lambda same: same)
@@ -208,36 +227,65 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, tar
         F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = kept(met.join(groups, "key"), "placed")
 
-    wanted = placed.select("id").distinct()
+    compared = full.join(placed.select("node").distinct(), "node", "left_semi").select(
+        "node", "id", "high", "low", F.array(*_KEYS).alias("keys"))
+    wanted = compared.select("id").distinct()
     few = wanted.count() <= SENT_IDS
-    texts = ids.join(F.broadcast(wanted) if few else wanted, "id", "left_semi").join(
-        full.select("id", F.array(*_KEYS).alias("keys")), "id").dropDuplicates(["id"])
-    rows = placed.join(texts, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    texts = ids.join(F.broadcast(wanted) if few else wanted, "id", "left_semi").join(compared, "id")
+    texts = _own_texts(texts.select("node", "keys", "high", "low", "text")).drop("high", "low").dropDuplicates(["node"])
+    rows = placed.join(texts, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     number = F.sequence(F.lit(0), F.col("blocks") - 1)
     units = rows.select(
-        F.col("key").alias("unit"), "tree", "id", "keys", "text", "block", F.inline(F.transform(
+        F.col("key").alias("unit"), "tree", F.col("node").alias("id"), "keys", "text", "block", F.inline(F.transform(
             number, lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j")))))
     dealt = units.repartition(partitions_for(docs), "unit", "i", "j").sortWithinPartitions("unit", "i", "j")
     links = kept(dealt.mapInArrow(lambda batches: _compared(batches, width, threshold), "id long, links long, root long"),
                  "links")
 
     joined = components(links.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    counts = links.groupBy("id").agg(F.sum("links").alias("links"))
-    classes = reps.join(counts, "id", "left").join(
-        joined.withColumnRenamed("node", "id"), "id", "left").select(
-        "high", "low", F.coalesce("component", "id").alias("class_id"), F.col("id").alias("copy_id"),
-        F.col("copies").alias("n_copies"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
-    return signed.select(F.col("id").alias(id_column), "high", "low").join(classes, ["high", "low"]).drop("high", "low")
+    counts = links.groupBy(F.col("id").alias("node")).agg(F.sum("links").alias("links"))
+    classes = kept(reps.join(counts, "node", "left").join(joined, "node", "left").select(
+        "high", "low", F.coalesce("component", "node").alias("component"), F.col("id").alias("copy_id"),
+        F.col("copies").alias("n_copies"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links")), "components")
+    # The smallest id of a class stands for it, by the text of the smallest hash if it has several there.
+    heads = classes.groupBy("component").agg(
+        F.min("copy_id").alias("class_id"),
+        F.min(F.struct(F.col("copy_id").isNull().alias("without"), "copy_id", "high", "low")).alias("head"))
+    classes = classes.join(heads, "component").select(
+        "high", "low", "class_id", "copy_id", "n_copies", "n_links",
+        ((F.col("head.high") == F.col("high")) & (F.col("head.low") == F.col("low"))).alias("stands"))
+    return signed.select("id", "high", "low").join(classes, ["high", "low"])
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5, target: float = 0.999,
+                    id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """class_id (smallest id of the texts it is linked with, directly or not), copy_id (smallest id of equal word
+    sequences), n_copies (rows of that) and n_links (other word sequences that reach the threshold) of each document."""
+    return _classes(docs, threshold, width, target, id_column, text_column).select(
+        F.col("id").alias(id_column), "class_id", "copy_id", "n_copies", "n_links")
 
 
 def representatives(docs: DataFrame, threshold: float = 0.8, width: int = 5, target: float = 0.999,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One document of each class: the one whose id is the class id, and of repeated rows one. Rows with a null id
-    stay, one of each text."""
-    classes = near_duplicates(docs, threshold, width, target, id_column, text_column)
-    chosen = kept(classes.where(F.col(id_column) == F.col("class_id")).select(id_column).distinct(), "chosen")
+    """One document of each class: of the text that stands for it, the one whose id is the class id, and of repeated
+    rows one. Rows with a null id stay, one of each text."""
+    rows = kept(_classes(docs, threshold, width, target, id_column, text_column).select("id", "high", "low", "class_id", "stands"), "rows")
+    chosen = kept(rows.where("stands AND id = class_id").select("id", "high", "low").distinct(), "chosen")
+    # Ids of several texts: which of them stays is told by the text's hash.
+    several = kept(rows.where("id IS NOT NULL").groupBy("id").agg(
+        F.min(F.struct("high", "low")).alias("a"), F.max(F.struct("high", "low")).alias("b")).where("a <> b").select("id"), "several")
     # Texts are shuffled once at every size; repeated rows of an id then stand together.
-    nth = F.row_number().over(Window.partitionBy(id_column).orderBy(id_column))
-    named = docs.join(chosen.hint("merge"), id_column).withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
+    nth = "nth"
+    while nth in docs.columns:
+        nth += "_"
+    once = F.row_number().over(Window.partitionBy(id_column).orderBy(id_column))
+    plain = chosen.join(several, "id", "left_anti").select(F.col("id").alias(id_column))
+    named = docs.join(plain.hint("merge"), id_column).withColumn(nth, once).where(F.col(nth) == 1).select(*docs.columns)
     loose = docs.where(F.col(id_column).isNull()).dropDuplicates([text_column])
-    return named.unionByName(loose.select(*docs.columns))
+    whole = named.unionByName(loose.select(*docs.columns))
+    if several.isEmpty():
+        return whole
+    of = chosen.join(several, "id")
+    packed = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    own = _own_texts(packed.join(of, "id")).dropDuplicates(["id", "high", "low"])
+    return whole.unionByName(own.select("row.*"))

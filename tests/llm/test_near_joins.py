@@ -105,3 +105,21 @@ def test_components(spark):
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {9: 5, 8: 5, 7: 5, 6: 5, 5: 5, 40: 5, 20: 20, 21: 20, 22: 20}
     assert components(links.limit(0)).count() == 0
+
+
+def test_one_id_may_have_several_texts(spark):
+    a = " ".join(f"a{i}" for i in range(40))
+    b = " ".join(f"b{i}" for i in range(40))
+    docs = make(spark, [(1, a), (1, b), (2, a + " more"), (2, b), (3, "c d e f g h"), (3, "c d e f g h"), (0, b + " end")])
+    got = sorted((r.doc_id, r.class_id, r.copy_id, r.n_copies, r.n_links) for r in n.near_duplicates(docs).collect())
+    assert got == [(0, 0, 0, 1, 1), (1, 0, 1, 2, 1), (1, 1, 1, 1, 1), (2, 0, 1, 2, 1), (2, 1, 2, 1, 1), (3, 3, 3, 2, 0), (3, 3, 3, 2, 0)]
+    left = sorted((r.doc_id, r.text) for r in n.representatives(docs).collect())
+    assert left == sorted([(0, b + " end"), (1, a), (3, "c d e f g h")])
+
+
+def test_ids_may_be_texts(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([("x", words), ("y", words + " end"), ("z", "other words here")], "doc_id string, text string")
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in n.near_duplicates(docs).collect()) == [
+        ("x", "x", 1), ("y", "x", 1), ("z", "z", 0)]
+    assert sorted(r.doc_id for r in n.representatives(docs).collect()) == ["x", "z"]
