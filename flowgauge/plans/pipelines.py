@@ -66,22 +66,25 @@ def with_health(rows: DataFrame, health: PipelineModel | None = None,
     return shape.assign_path(rows, "is_healthy", "response.result")
 
 
-def reading_table_rows(enriched: DataFrame) -> DataFrame:
+def reading_table_rows(enriched: DataFrame, schema=schemas.READING_TABLE) -> DataFrame:
     """Enriched readings in the columns and types of the stored table."""
-    return enriched.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.READING_TABLE])
+    return enriched.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def enriched_sink(table_path: str, json_path: str, avro_path: str, failures: Sink | None = None,
                   health: PipelineModel | None = None, default_result: Column | None = None,
-                  avro_format: str = "avro", buckets: int = keyed.HASH_PARTITIONS, monitor: Sink | None = None) -> Sink:
+                  avro_format: str = "avro", buckets: int = keyed.HASH_PARTITIONS, monitor: Sink | None = None,
+                  wire=schemas.READING_WIRE, stored=schemas.READING_TABLE) -> Sink:
     """Topic records to: keyed table, JSON topic folder, Avro folder, monitor, and quarantine, from one pass.
 
     Of several readings of one key in a batch the one with the greatest values
     is stored, so a repeated batch stores the same.  ``avro_format`` names
-    another file format where the Avro module is missing.
+    another file format where the Avro module is missing.  ``wire`` and
+    ``stored`` are the schemas of the records and of the table, such as those of
+    the readings with a place.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = records.parse_json(batch, schemas.READING_WIRE).persist()
+        parsed = records.parse_json(batch, wire).persist()
         try:
             good, bad = records.split_parsed(parsed, ["sensor_id", "sensor_ts"])
             sinks.fan_out(store, publish, avro, *([monitor] if monitor else []))(with_health(good, health, default_result), batch_id)
@@ -91,12 +94,12 @@ def enriched_sink(table_path: str, json_path: str, avro_path: str, failures: Sin
             parsed.unpersist()
 
     keys = schemas.TABLE_KEYS["sensors"]
-    rest = [f.name for f in schemas.READING_TABLE if f.name not in keys]
-    store = keyed.upsert(table_path, keys, rest, buckets, shape=reading_table_rows)
+    rest = [f.name for f in stored if f.name not in keys]
+    store = keyed.upsert(table_path, keys, rest, buckets, shape=lambda d: reading_table_rows(d, stored))
     publish = sinks.file_batch(json_path, shape=lambda d: sinks.json_records(d, "iot_enriched"))
 
     def avro(d: DataFrame, n: int) -> None:
-        sinks.write_avro(d, f"{avro_path}/batch_id={n}", schemas.READING_WIRE, fmt=avro_format)
+        sinks.write_avro(d, f"{avro_path}/batch_id={n}", wire, fmt=avro_format)
 
     return write
 

@@ -314,6 +314,24 @@ def pip04_rejected(spark, sf):
     return rows.select(F.regexp_extract("decoded", '"transaction_id":"([0-9]+)"', 1).alias("transaction_id"))
 
 
+@query("pip02_enhanced_table", with_(READINGS) + f"""
+SELECT sensor_id, sensor_ts, {', '.join(f'CAST(sensor_{i} AS DOUBLE) AS sensor_{i}' for i in range(12))}, is_healthy,
+       CASE WHEN reading_id % 3 <> 0 THEN 'city-' || (sensor_id % 7) END AS city,
+       CAST(sensor_id % 90 AS DOUBLE) AS lat, CAST(sensor_id % 180 AS DOUBLE) / 2 AS lon FROM readings""")
+def pip02_enhanced(spark, sf):
+    """Readings with a place; every third comes from an older client and names no city."""
+    place = [F.when(F.col("reading_id") % 3 != 0, F.concat(F.lit("city-"), (F.col("sensor_id") % 7).cast("string"))).alias("city"),
+             (F.col("sensor_id") % 90).cast("double").alias("lat"), ((F.col("sensor_id") % 180).cast("double") / 2).alias("lon")]
+    rows = inputs.readings(_event_stream(spark, sf))
+    wire = rows.select(F.to_json(F.struct(
+        "sensor_id", "sensor_ts", F.struct(F.col("is_healthy").alias("result")).alias("response"),
+        *schemas.SENSOR_COLUMNS, *place)).cast("binary").alias("value"))
+    table, out, avro = (new_folder(spark, n) for n in ("sensors-enhanced", "enhanced", "enhanced-avro"))
+    jobs.run_available(wire, "pip02-enhanced", each_batch=pipelines.enriched_sink(
+        table, out, avro, avro_format="parquet", wire=schemas.READING_ENHANCED, stored=schemas.READING_ENHANCED_TABLE))
+    return keyed.read_keyed(spark, table, schemas.TABLE_KEYS["sensors"])
+
+
 def _fraud_outputs(spark: SparkSession, sf: str) -> tuple[str, str]:
     topic, table = new_folder(spark, "fraud-topic"), new_folder(spark, "fraud-table")
     found = joins.frauds(inputs.transactions(_event_stream(spark, sf)), _customers(spark, sf))

@@ -28,6 +28,9 @@ READING_TABLE = T.StructType(
     + [T.StructField("is_healthy", T.IntegerType())]
 )
 
+# Readings with the place they come from, as stored.
+READING_ENHANCED_TABLE = T.StructType(READING_TABLE.fields + READING_ENHANCED.fields[-3:])
+
 TRANSACTION_RAW = "ts string, account_id string, transaction_id string, amount int, lat double, lon double"
 TRANSACTION_TABLE = (
     "ts string, acc_id string, transaction_id string, amount bigint, lat double, lon double, fraud_score double"
