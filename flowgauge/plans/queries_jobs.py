@@ -231,6 +231,33 @@ def str13(spark, sf):
     return states.withColumn("error", F.col("error").isNotNull())
 
 
+@query("rte03_empty_outputs_stream", with_(TRANSACTIONS) + """
+SELECT 'flattened' AS route, CAST(4 AS BIGINT) AS batches, count(*) AS rows FROM transactions
+UNION ALL SELECT 'likely_fraud', 1, count(*) FROM transactions WHERE transaction_id = '7' HAVING count(*) > 0""")
+def rte03(spark, sf):
+    """A route that has rows in one micro-batch is written once, others each time."""
+    path = new_folder(spark, "routes")
+    outputs = {"flattened": lambda d: d, "likely_fraud": lambda d: d.filter("transaction_id = '7'"), "never": lambda d: d.filter("amount < 0")}
+    sink = sinks.routed(outputs, {name: sinks.file_batch(f"{path}/route={name}") for name in outputs})
+    jobs.run_available(inputs.transactions(_event_stream(spark, sf)), "rte03", each_batch=sink)
+    return spark.read.parquet(path).groupBy("route").agg(
+        F.countDistinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("snk08_console_stream", "SELECT 'console' AS job, CAST(4 AS BIGINT) AS batches, count(*) AS rows, 'stopped' AS state FROM events")
+def snk08(spark, sf):
+    """What a console job was given, from its history."""
+    path = new_folder(spark, "console-history")
+    listener = jobs.JobHistory(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        jobs.run_available(_event_stream(spark, sf), "console", fmt="console", numRows=1)
+        listener.wait_for(["console"])
+    finally:
+        spark.streams.removeListener(listener)
+    return jobs.job_states(jobs.history(spark, path)).select("job", "batches", "rows", "state")
+
+
 # --- model figures that can be repeated ---------------------------------------
 
 SPLIT = """placed AS (SELECT *, CAST('0x' || substr(md5('7|' || reading_id), 1, 8) AS BIGINT) < 3006477107 AS train FROM readings)"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch, geo, named, text
 from ..operators import quality, shape
+from ..session import new_folder
 from ..sources import records as rec, schemas
 from . import inputs
 from .registry import (READINGS, RECORD_TEXT, RECORDS, SENSOR_LIST, TRANSACTIONS, km_sql, query, with_)
@@ -172,7 +173,9 @@ def fn17(spark, sf):
                                       text.decode_bytes("value").alias("body"))
 
 
-@query("fn18_stub_result")
+@query("fn18_stub_result", with_(READINGS) + """
+SELECT reading_id, CAST(CAST('0x' || substr(md5('0|' || sensor_id || '|' || sensor_ts), 1, 8) AS BIGINT) % 2 AS INTEGER) AS result
+FROM readings""")
 def fn18(spark, sf):
     return _readings(spark, sf).select("reading_id", text.stub_result(["sensor_id", "sensor_ts"]).alias("result"))
 
@@ -207,6 +210,22 @@ def udf01(spark, sf):
                                TO_KUDU_STRING(account_id) AS acc_id FROM fg_payments""")
 
 
+@query("udf02_find_and_drop_functions", with_(TRANSACTIONS) + f"""
+SELECT transaction_id, round({km_sql('lat', 'lon', 'CAST(-37.8 AS DOUBLE)', 'CAST(144.9 AS DOUBLE)')}, 6) AS km,
+       1 AS found, 0 AS left_over FROM transactions""")
+def udf02(spark, sf):
+    """A function found by its name in other letters, used over the table, and dropped."""
+    named.register_builtin(spark)
+    before = named.find_functions(spark, "HaveToKm")
+    _transactions(spark, sf).createOrReplaceTempView("fg_payments")
+    rows = spark.sql(f"SELECT transaction_id, round({before[0]}(lat, lon, -37.8D, 144.9D), 6) AS km FROM fg_payments")
+    path = new_folder(spark, "distances")
+    rows.write.parquet(path)
+    named.drop_function(spark, "HaveToKm")
+    after = named.find_functions(spark, "havetokm")
+    return spark.read.parquet(path).withColumns({"found": F.lit(len(before)), "left_over": F.lit(len(after))})
+
+
 @query("udf03_batch_function_in_sql", with_(READINGS) + """
 SELECT reading_id, CASE WHEN sensor_1 > 40 AND sensor_3 > 30 THEN 0 ELSE 1 END AS result FROM readings""")
 def udf03(spark, sf):

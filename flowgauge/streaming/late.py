@@ -4,23 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.epoch import floor_div, interval_seconds
 
-MARKS = "batch_id bigint, newest_ms bigint"
+MARKS = "newest_ms bigint"
 
 
-def marks(spark: SparkSession, path: str) -> DataFrame:
-    """Newest event time of each micro-batch."""
-    return spark.read.schema(MARKS).parquet(f"{path}/marks")
-
-
-def _newest_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
-    """Newest event time of the micro-batches up to the last but one before ``batch_id``."""
-    if batch_id < 2:
+def newest_upto(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """Newest event time, in milliseconds, of the micro-batches up to one: a row that each micro-batch leaves."""
+    if batch_id < 0:
+        return None
+    try:
+        return spark.read.schema(MARKS).parquet(f"{path}/marks/of={batch_id}").select("newest_ms").first()[0]
+    except AnalysisException as error:  # the job began later
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return marks(spark, path).filter(F.col("batch_id") < batch_id - 1).agg(F.max("newest_ms")).first()[0]
 
 
 def window_end_ms(time: str, size: str) -> Column:
@@ -43,8 +44,9 @@ def late_sink(path: str, on_time: Callable[[DataFrame, int], None], late: Callab
         spark = batch.sparkSession
         rows = batch.persist()
         try:
-            newest = _newest_before(spark, path, batch_id)
-            rows.agg(F.lit(batch_id).cast("bigint").alias("batch_id"), F.max(F.unix_millis(time)).alias("newest_ms")).write.mode(
+            newest = newest_upto(spark, path, batch_id - 2)
+            before = newest_upto(spark, path, batch_id - 1)
+            rows.agg(F.greatest(F.max(F.unix_millis(time)), F.lit(before).cast("bigint")).alias("newest_ms")).write.mode(
                 "overwrite").parquet(f"{path}/marks/of={batch_id}")
             behind = F.lit(False) if newest is None else F.coalesce(
                 window_end_ms(time, size) <= newest - delay_ms, F.lit(False))

@@ -40,7 +40,7 @@ def fed_with_upkeep(feed, sink, path, checkpoint, every=2):
 @pytest.mark.parametrize("hot_rows", [5, 10**6])
 def test_count_windows_across_batches_equal_the_batch_operator(spark, folder, hot_rows):
     feed = feed_of(spark, folder, ordered_rows(), 5)
-    sink = stateful.count_window_sink(folder, ["k"], ["t", "id"], "v", 3, ["id"], hot_rows)
+    sink = stateful.count_window_sink(folder, ["k"], ["t", "id"], "v", 3, ["id"], hot_rows, buckets=2)
     fed_with_upkeep(feed, sink, folder, folder + "-checkpoint")
     got = spark.read.parquet(f"{folder}/windows").drop("batch_id")
     want = ordered.count_windows(feed.batch(), ["k"], ["t", "id"], "v", 3, ["id"])
@@ -109,7 +109,7 @@ def monitor(spark, folder, batches, key=None):
     for b in batches:
         feed.add(spark.createDataFrame(b, "s double, k string").select(
             F.timestamp_micros(((F.col("s") + 1000) * 1_000_000).cast("bigint")).alias("event_time"), "k"))
-    jobs.run_available(feed.stream(), "monitor", each_batch=stateful.monitor_sink(folder, 45, key=key))
+    jobs.run_available(feed.stream(), "monitor", each_batch=stateful.monitor_sink(folder, 45, key=key, buckets=2))
     got = stateful.each_alert(stateful.read_messages(spark, folder)).collect()
     return sorted((r["at_us"] // 1_000_000 - 1000, r["state"], r["monitor"], r["alert"]) for r in got)
 
@@ -148,7 +148,7 @@ def test_a_gap_of_fifty_years_is_one_row(spark, folder):
 
 
 def test_monitor_fires_in_parts_that_add_up_and_repeats_batches(spark, folder):
-    sink = stateful.monitor_sink(folder, key="k")
+    sink = stateful.monitor_sink(folder, key="k", buckets=2)
     batches = [[(0, "a"), (0, "b")], [(120, "a")], [(120, "a"), (50, "a")], [(400, "a")], [(401, "b")]]
     for n, rows in enumerate(batches):
         for _ in range(1 + n % 2):
@@ -178,7 +178,7 @@ def test_monitor_over_batches_equals_the_batch_operator(spark, folder):
         rows.append((t, r.choice("abc")))
     for key, keys in (("k", ["k"]), (None, [])):
         path = f"{folder}-{key}"
-        sink = stateful.monitor_sink(path, key=key)
+        sink = stateful.monitor_sink(path, key=key, buckets=2)
         for n in range(6):
             sink(seconds(spark, rows[50 * n:50 * n + 50]), n)
         got = stateful.read_messages(spark, path).filter("state = 'restored'").select("monitor", "at_us", "silent_us", "alert")
