@@ -58,8 +58,13 @@ def _buckets(spark: SparkSession, name: str) -> int:
     return next(int(r["data_type"]) for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect() if r["col_name"] == "Num Buckets")
 
 
-def open_table(spark: SparkSession, path: str) -> str | None:
-    """Name of the Spark table that holds a keyed table; ``None`` before the first write."""
+def open_table(spark: SparkSession, path: str, refresh: bool = True) -> str | None:
+    """Name of the Spark table that holds a keyed table; ``None`` before the first write.
+
+    A reader takes note of what other sessions have written.  That also drops
+    what is cached of the table, so a writer, whose rows may come from such a
+    cache, goes without.
+    """
     name = _name(path)
     if not spark.catalog.tableExists(name):
         layout = _layout(spark, path)
@@ -73,7 +78,8 @@ def open_table(spark: SparkSession, path: str) -> str | None:
             return None
         _create(spark, path, T.StructType([f for f in found if f.name not in OWN]), *layout)
         spark.sql(f"MSCK REPAIR TABLE {name}")
-    spark.catalog.refreshTable(name)
+    if refresh:
+        spark.catalog.refreshTable(name)
     return name
 
 
@@ -141,7 +147,7 @@ def write_changes(df: DataFrame, path: str, batch_id: int, keys: Sequence[str],
 
 def _write(df: DataFrame, path: str, keys: Sequence[str], buckets: int, version: Column, slot: Column) -> None:
     spark = df.sparkSession
-    name = open_table(spark, path)
+    name = open_table(spark, path, refresh=False)
     if name is None:
         if _layout(spark, path) is None:
             layout = spark.createDataFrame([(list(keys), buckets)], "keys array<string>, buckets int")
