@@ -13,7 +13,7 @@ from ..session import new_folder
 from ..sources import readers, records as rec, schemas
 from ..streaming import hotkeys, jobs, keyed, late, sinks, views
 from . import inputs, pipelines
-from .queries_analytics import (CHANGES, CUSTOMERS, FRAUDS, NEW, ORDER, _changes, _customers, _frame, shown)
+from .queries_analytics import (CHANGES, CUSTOMERS, FRAUDS, NEW, ORDER, _changes, _customers, shown)
 from .queries_tables import _collected, _event_stream, _halves, _written
 from .queries_values import _readings, _transactions
 from .registry import READINGS, TRANSACTIONS, query, with_
