@@ -210,6 +210,20 @@ def test_a_hot_account_is_spread_over_the_tasks_of_a_stream_and_equals_the_batch
     assert max(salted) <= 3 * salted[len(salted) // 2] and max(plain) > 6 * plain[len(plain) // 2]
 
 
+def test_a_hot_account_not_known_yet_meets_only_the_rows_near_it(spark, folder):
+    r = random.Random(8)
+    rows = sorted((r.randrange(12_000), "hot", str(i), r.choice([0.0, 1.0])) for i in range(600))  # twenty intervals, one batch
+    feed = Feed(spark, folder + "-in", payments(spark, []).schema).add(payments(spark, rows))
+    for name, salts in (("unknown", hotkeys.NO_SALTS), ("salted", 2)):
+        found = joins.frauds(feed.stream(), people(spark, ["hot"]), salts=salts)
+        jobs.run_available(found, name, path=f"{folder}-out-{name}", checkpoint=f"{folder}-{name}")
+        assert pairs(spark.read.schema(found.schema).parquet(f"{folder}-out-{name}")) == pairs(
+            joins.frauds(feed.batch(), people(spark, ["hot"]))) != []
+        for side in ("left", "right"):  # rows under one key of the state: a row of the other side is held against them all
+            held = jobs.state_rows(spark, f"{folder}-{name}", side, batch_id=0)
+            assert max(x["count"] for x in held.groupBy(F.to_json("key")).count().collect()) < 120
+
+
 # --- snapshots under way ----------------------------------------------------------
 
 def test_interleaved_snapshot_gives_the_final_state_wherever_its_chunks_were_read(spark):
