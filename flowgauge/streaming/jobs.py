@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..session import new_folder
+from . import sinks
 
 
 def start_job(
@@ -29,8 +30,11 @@ def start_job(
 
     Given the checkpoint folder of an earlier run the job goes on where that
     one stopped; without one it starts afresh in a new folder.  ``every=None``
-    reads what is there now and stops.
+    reads what is there now and stops.  A console is sent the rows of each task
+    that it may show, and no others.
     """
+    if fmt == "console":
+        df = sinks.first_of_each_task(df, int(options.get("numRows", 20)) + 1)
     writer = (
         df.writeStream.queryName(name).outputMode(mode).options(**options)
         .option("checkpointLocation", checkpoint or new_folder(df.sparkSession, f"checkpoint-{name}"))

@@ -173,6 +173,22 @@ def routed(outputs: Mapping[str, Callable[[DataFrame], DataFrame]],
     return fan_out(*[one(name) for name in outputs], skip_empty=skip_empty)
 
 
+def first_of_each_task(df: DataFrame, rows: int) -> DataFrame:
+    """The first rows of each task; the others are read to the end but not passed on.
+
+    Spark's console sink takes all rows of a micro-batch to the driver, where it
+    shows the first ones.
+    """
+    def first(batches):
+        left = rows
+        for batch in batches:
+            if left:
+                kept = batch.slice(0, left)
+                left -= kept.num_rows
+                yield kept
+    return df.mapInArrow(first, df.schema)
+
+
 def preview(df: DataFrame, time: str, every_ms: int, order: Sequence[str] = ()) -> DataFrame:
     """One row per interval (the first), or every row when the interval is 0.
 

@@ -39,6 +39,19 @@ def test_console(spark, folder):
     assert "Console" in job.recentProgress[-1]["sink"]["description"]
 
 
+def test_console_is_sent_only_what_it_may_show(spark, folder):
+    feed = Feed(spark, folder, SCHEMA).add([(f"k{i}", i, i) for i in range(1000)])
+    job = jobs.start_job(feed.stream(), "console-few", every=None, fmt="console", numRows=2)
+    job.awaitTermination()
+    done = [p for p in job.recentProgress if p["numInputRows"]]
+    assert [(p["numInputRows"], p["sink"]["numOutputRows"]) for p in done] == [(1000, 3)]
+
+
+def test_first_of_each_task_are_the_first_in_order(spark):
+    rows = spark.range(0, 30_000, 1, 3).select("id", F.array("id").alias("a"))
+    assert [r["id"] for r in sinks.first_of_each_task(rows, 2).collect()] == [0, 1, 10_000, 10_001, 20_000, 20_001]
+
+
 def test_insert_into_a_table_and_update_mode(spark, folder):
     feed = Feed(spark, folder, SCHEMA).add([("a", 1, 1)]).add([("a", 2, 5), ("b", 2, 1)])
     spark.sql("DROP TABLE IF EXISTS inserted")
