@@ -21,7 +21,7 @@ def latest_state(df: DataFrame, keys: Sequence[str], order: Sequence[str], ignor
     if not ignore_nulls:
         return latest_per_key(df, keys, order)
     fields = [c for c in df.columns if c not in keys]
-    return values_of(merge_registers(registers(df, fields, order), keys, fields), keys, fields)
+    return values_of(fold_registers(df, keys, fields, order), keys, fields)
 
 
 def registers(df: DataFrame, fields: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -40,6 +40,36 @@ def merge_registers(rows: DataFrame, keys: Sequence[str], fields: Sequence[str],
     return rows.groupBy(*keys).agg(*last, *[F.max(c).alias(c) for c in newest])
 
 
+# Types that Spark aggregates in place, without a sort of the rows.
+FIXED_WIDTH = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz"}
+
+
+def fold_registers(df: DataFrame, keys: Sequence[str], fields: Sequence[str], order: Sequence[str],
+                   newest: Sequence[str] = ()) -> DataFrame:
+    """``merge_registers`` of the ``registers`` of the rows.
+
+    Spark sorts all rows to fold registers, which are structs.  Where the order
+    is one column and all is of fixed width, the greatest order and its value
+    are folded as plain columns instead, and made registers after.
+    """
+    types = dict(df.dtypes)
+    if len(order) > 1 or not all(types[c] in FIXED_WIDTH for c in (*order, *fields)):
+        return merge_registers(registers(df, fields, order), keys, fields, newest)
+    at = F.col(f"`{order[0]}`")
+    folds, made = [], []
+    for i, c in enumerate(fields):
+        value = F.col(f"`{c}`")
+        written = F.when(value.isNotNull(), at)
+        folds += [F.max(written).alias(f"_at{i}"), F.max_by(value, written).alias(f"_value{i}"),
+                  F.first(F.when(at.isNull(), value), ignorenulls=True).alias(f"_without{i}")]
+        register = lambda when, what: F.struct(F.struct(when.alias(order[0])).alias("at"), what.alias("value"))
+        first = F.col(f"_at{i}")
+        made.append(F.when(first.isNotNull(), register(first, F.col(f"_value{i}"))).when(  # null orders come before all others
+            F.col(f"_without{i}").isNotNull(), register(F.lit(None).cast(types[order[0]]), F.col(f"_without{i}"))).alias(c))
+    folded = df.groupBy(*keys).agg(*folds, *[F.max(c).alias(c) for c in newest])
+    return folded.select(*keys, *made, *newest)
+
+
 def values_of(rows: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """The values that the registers hold."""
     return rows.select(*keys, *[F.col(f"`{c}`.value").alias(c) for c in fields])

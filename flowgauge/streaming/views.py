@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.epoch import epoch_us, floor_div
-from ..operators.views import merge_registers, registers, values_of, within_retention
+from ..operators.views import fold_registers, merge_registers, values_of, within_retention
 from . import keyed
 
 
@@ -30,20 +30,20 @@ def view_sink(path: str, keys: Sequence[str], order: Sequence[str], ignore_nulls
 
     With ``ignore_nulls`` the stored row of a key has a register for each
     column: the last non-null value and the order key it came with, so rows
-    fold in any grouping.  Rows lie in slots of ``retention`` seconds of
+    fold in any grouping.  Other rows lie in slots of ``retention`` seconds of
     ``time`` (the first order column if not given), which :func:`expire` drops
-    whole once all their rows are too old.
+    whole once all their rows are too old.  Registers are not dropped that way
+    and lie in one slot: a slot is a folder, and a file, for each bucket.
     """
     time = time or order[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        slot = floor_div(_us(F.col(f"`{time}`"), batch, time), retention * 1_000_000)
         if not ignore_nulls:
+            slot = floor_div(_us(F.col(f"`{time}`"), batch, time), retention * 1_000_000)
             keyed.write_changes(batch, path, batch_id, keys, order, buckets, slot=F.coalesce(slot, F.lit(0)))
             return
         fields = [c for c in batch.columns if c not in keys]
-        rows = merge_registers(registers(batch.withColumn("slot", F.coalesce(slot, F.lit(0))), fields, order), keys, fields, ["slot"])
-        keyed.write_changes(rows, path, batch_id, keys, buckets=buckets, unique=True, slot=F.col("slot"))
+        keyed.write_changes(fold_registers(batch, keys, fields, order), path, batch_id, keys, buckets=buckets, unique=True)
     return write
 
 

@@ -1,4 +1,5 @@
 import glob
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,6 +218,22 @@ def test_expired_keys_leave_a_view_that_ignores_nulls_and_old_values_of_live_key
     assert read() == [("a", 1), ("c", 3), ("d", 4)] and size() == 3 < before
 
 
+def test_folded_registers_equal_merged_ones_and_lie_in_one_slot(spark, folder):
+    r = random.Random(12)
+    when = lambda: r.choice([None, r.randrange(9)])
+    rows = [(r.choice("abc"), t, None if t is None else 10.0 * t, None if t is None or r.random() < 0.5 else t % 3) for t in (when() for _ in range(60))]
+    rows += [("d", None, 5.0, None), ("e", 86_400 * 1_000_000, None, 1), ("f", 1, None, None), (None, 2, 1.0, 7)]
+    df = spark.createDataFrame(rows, "k string, t bigint, v double, w int")
+    fields = ["t", "v", "w"]
+    folded = view_ops.fold_registers(df, ["k"], fields, ["t"])
+    merged = view_ops.merge_registers(view_ops.registers(df, fields, ["t"]), ["k"], fields)
+    assert folded.dtypes == merged.dtypes and sorted(map(str, folded.collect())) == sorted(map(str, merged.collect()))
+    assert "SortAggregate" not in folded._jdf.queryExecution().toString()
+    views.view_sink(folder, ["k"], ["t"], ignore_nulls=True)(df, 0)
+    assert {p["slot"] for p in keyed.parts(spark, folder)} == {0}  # a folder a bucket, however far the keys lie apart
+    assert views.read_view(spark, folder, ["k"], ["t"], ignore_nulls=True).count() == 7
+
+
 def test_registers_fold_in_any_grouping(spark):
     import random
 
