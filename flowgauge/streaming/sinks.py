@@ -89,7 +89,8 @@ def fan_out(*sinks: Callable[[DataFrame, int], None], prepare: Callable[[DataFra
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch).persist()
         try:
-            if skip_empty and rows.isEmpty():
+            # Counted, as a search for a first row computes a task, then some, and so on, where rows are rare.
+            if skip_empty and rows.count() == 0:
                 return
             for sink in sinks:
                 sink(rows, batch_id)
