@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.epoch import epoch_us, floor_div, interval_seconds
+from ..streaming import sliding
 
 STATS = ["sensorCount", "sensorSum", "sensorAverage", "sensorMin", "sensorMax", "sensorGreaterThan60"]
 
@@ -38,7 +39,9 @@ def sliding_stats(
     Rows are first folded to one cell per key and slide, and only the cells are
     spread over the windows they belong to; all six statistics recombine
     exactly.  The spread rows number at most ``size / slide`` times the cells,
-    not times the readings.  On a stream both steps are windowed aggregates.
+    not times the readings.  On a stream the state holds the cells of open
+    windows (:mod:`..streaming.sliding`); without keys, or with keys or values
+    of other types, both steps are windowed aggregates.
     """
     step, length = interval_seconds(slide), interval_seconds(size)
     if length % step:
@@ -63,6 +66,14 @@ def sliding_stats(
         F.max("_max").alias("sensorMax"),
         F.sum("_over").alias("sensorGreaterThan60"),
     ]
+    types = dict(zip(df.columns, [f.dataType for f in df.schema]))
+    if df.isStreaming and sliding.fits([types[k] for k in keys], types[value]):
+        runs = sliding.window_runs(df, keys, value, time, slide, step, length // step, threshold)
+        windows = runs.withColumn("_end", F.explode(F.sequence("_first", "_last")))
+        return windows.select(
+            *keys, F.timestamp_micros(F.col("_end") * (step * 1_000_000)).alias(end), F.col("_count").alias("sensorCount"),
+            F.col("_sum").alias("sensorSum"), (F.col("_fsum") / F.nullif("_present", F.lit(0))).alias("sensorAverage"),
+            F.col("_min").alias("sensorMin"), F.col("_max").alias("sensorMax"), F.col("_over").alias("sensorGreaterThan60"))
     if df.isStreaming:
         cells = df.groupBy(*keys, F.window(time, slide).alias("_cell")).agg(*cell_stats)
         totals = cells.groupBy(*keys, F.window("_cell", size, slide).alias("_w")).agg(*window_stats)

@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,69 @@ def test_processing_time_window_of_a_stream(spark, folder):
         timewindows.tumbling_sum(feed.stream(), time=None, size="1 day"), "now", mode="update",
         each_batch=lambda b, n: last.update({(r["sensor_id"], r["windowEnd"]): r["total"] for r in b.collect()}))
     assert sum(last.values()) == 15
+
+
+def by_batch(feed, keys, **windows):
+    """The windows that each micro-batch gives out, and the rows that its operators put into state."""
+    given, rows = {}, []
+    stats = timewindows.sliding_stats(feed.stream().withWatermark("event_time", "3 seconds"), keys, "sensor_6", **windows)
+    query = jobs.start_job(stats, "by-batch", every=None, each_batch=lambda b, n: given.update({n: sorted(
+        map(repr, b.collect()))}))
+    query.awaitTermination()
+    return given, sum(o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"])
+
+
+@pytest.mark.parametrize("keys, size, slide", [
+    (["sensor_id"], "30 seconds", "1 second"), (["place", "sensor_id"], "10 seconds", "2 seconds")])
+def test_open_windows_close_when_windowed_aggregates_do(spark, folder, monkeypatch, keys, size, slide):
+    feed, r, newest = Feed(spark, folder, "sensor_id bigint, place string, event_time timestamp, sensor_6 int"), random.Random(3), 0
+    late = [0, 0, 2_999_000, 3_000_000, 40_000_000]
+    # The last steps bring the watermark to a millisecond before the end of a window, and to that end.
+    for steps in ([r.randint(0, 900_000) for _ in range(60)], [400_000_000, *[0] * 9], [700_000] * 30, [600_999_000], [603_999_000], [604_000_000]):
+        rows = []
+        for step in steps:
+            newest = newest + step if step < 600_000_000 else step
+            us = max(-5_000_000, newest - r.choice(late)) if len(steps) > 1 else newest
+            rows.append((r.choice([None, 1, 2, (1 << 53) + 1]), r.choice([None, "a", "b"]), us,
+                         r.choice([None, 2147483647, *range(60, 80)])))
+        df = spark.createDataFrame(rows, "sensor_id bigint, place string, us bigint, sensor_6 int")
+        feed.add(df.select("sensor_id", "place", F.timestamp_micros("us").alias("event_time"), "sensor_6"))
+    got, _ = by_batch(feed, keys, size=size, slide=slide)
+    with monkeypatch.context() as m:
+        m.setattr(timewindows.sliding, "fits", lambda *a: False)
+        want, _ = by_batch(feed, keys, size=size, slide=slide)
+    assert got == want and sum(map(len, got.values())) > 200
+
+
+def test_state_of_a_stream_has_no_row_for_each_window(spark, folder):
+    feed = Feed(spark, folder, "sensor_id bigint, event_time timestamp, sensor_6 int")
+    for n in (0, 1):
+        feed.add(spark.range(400).select("id", F.timestamp_micros((F.col("id") + 400 * n) * 100_000_000), F.lit(7)).toDF(
+            "sensor_id", "event_time", "sensor_6"))
+    given, put = by_batch(feed, ["sensor_id"])
+    assert sum(map(len, given.values())) > 23_000 and put < 2_000
+
+
+def test_stream_takes_a_time_that_pandas_has_not(spark, folder):
+    feed, years = Feed(spark, folder, "sensor_id int, event_time timestamp, sensor_6 int"), 3_000 * 31_557_600 * 1_000_000
+    for us in (5_000_000, years, 6_000_000):
+        feed.add(frame(spark, [(1, us, 1, 1, 7)]).select("sensor_id", "event_time", "sensor_6"))
+    given, _ = by_batch(feed, ["sensor_id"])
+    assert sum(map(len, given.values())) == 31  # of both cells in time; the other one stays open
+
+
+def test_runs_are_the_same_in_small_pieces(monkeypatch):
+    from flowgauge.streaming import sliding
+
+    r = random.Random(4)
+    rows = [(1, r.randint(0, 3_000), r.randint(1, 100)) for _ in range(2_000)]
+    cells = pd.DataFrame(rows, columns=["_key0", "_cell", "_value"]).assign(_null0=False, _float=0.0, _has=True, _above=False)
+    cells = pd.concat([cells.assign(_block=b) for b in (0, 1, 2, 3, 4, 5)])
+    inside = [(c // 600 <= 5) and (c + 1) // 600 <= b <= (c + 30) // 600 for c, b in zip(cells["_cell"], cells["_block"])]
+    cells = sliding._cells(cells[inside], ["_key0", "_null0"])
+    whole = pd.concat(sliding._runs(cells, ["_key0", "_null0"], 30, 600, None, 2_500))
+    monkeypatch.setattr(sliding, "PIECE_CELLS", 7)
+    pieces = pd.concat(sliding._runs(cells, ["_key0", "_null0"], 30, 600, None, 2_500))
+    assert whole.reset_index(drop=True).equals(pieces.reset_index(drop=True))
+    ends = [e for f, t in zip(whole["_first"], whole["_last"]) for e in range(f, t + 1)]
+    assert sorted(ends) == sorted({c + i for _, c, _ in rows for i in range(1, 31) if c + i <= 2_500})
