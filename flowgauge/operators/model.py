@@ -36,6 +36,25 @@ def split_frame(df: DataFrame, train: float = 0.7, seed: int = 0) -> tuple[DataF
     return a, b
 
 
+SPREAD_ROWS = 100_000
+
+
+def spread(df: DataFrame, rows: int = SPREAD_ROWS) -> DataFrame:
+    """The rows, kept, and dealt anew to the cores if one partition holds more than twice its share.
+
+    A table of few row groups is read by as few tasks, and all training would stay in them.
+    """
+    kept = df.persist()
+    sizes = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+    parts = min(-(-sum(sizes) // rows), df.sparkSession.sparkContext.defaultParallelism)
+    if not parts or max(sizes) * parts <= 2 * sum(sizes):
+        return kept
+    dealt = kept.repartition(parts).persist()
+    dealt.count()
+    kept.unpersist()
+    return dealt
+
+
 def split_by_key(df: DataFrame, keys: Sequence[str], train: float = 0.7, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of the key: a row falls on the same side on any partitioning, in any table, and at any time."""
     text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys])

@@ -190,7 +190,7 @@ def read_replica(spark, table_path: str, keys: tuple[str, ...] = ("id",)) -> Dat
 
 def train_and_choose(frame: DataFrame, path: str | None = None, seed: int = 0, settings=model.EXPERIMENTS, **options):
     """Split, try the settings, keep and save the best model; returns metrics and model."""
-    train, test = (part.persist() for part in model.split_frame(frame, 0.7, seed))
+    train, test = (model.spread(part) for part in model.split_frame(frame, 0.7, seed))
     try:
         return model.experiments(train, test, settings, path=path, **options)
     finally:

@@ -171,6 +171,25 @@ def test_evaluation_with_soft_scores(spark, frame):
     assert model.evaluate(scored, score_col="p_healthy")["auroc"] >= model.evaluate(scored)["auroc"] - 0.05
 
 
+def test_training_rows_in_one_partition_are_dealt_to_the_cores(spark):
+    rows = spark.range(0, 1000, 1, 1)
+    dealt = model.spread(rows, 200)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) <= 2 * 250
+    assert dealt.agg(F.count("id"), F.countDistinct("id"), F.sum("id")).first()[:] == (1000, 1000, 499_500)
+    for same, n in ((spark.range(0, 1000, 1, 1), 1000), (spark.range(0, 1000, 1, 4), 200), (spark.range(0), 200)):
+        assert model.spread(same, n).rdd.getNumPartitions() == same.rdd.getNumPartitions()
+
+
+def test_experiments_train_in_more_than_the_partitions_read(spark, frame, monkeypatch):
+    seen = []
+    monkeypatch.setattr(model, "experiments", lambda train, test, settings, path=None: seen.extend(
+        p.filter("`12` IS NOT NULL").select(F.spark_partition_id()).distinct().count() for p in (train, test)))
+    monkeypatch.setattr(model.spread, "__defaults__", (100,))
+    pipelines.train_and_choose(frame.coalesce(1))
+    assert min(seen) > 1
+
+
 def test_enrichment_with_the_model(spark, frame):
     fitted = model.health_pipeline(3, 3).fit(frame)
     values = ",".join(f'"sensor_{i}":{i}' for i in range(12))
