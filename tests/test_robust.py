@@ -224,6 +224,29 @@ def test_a_hot_account_not_known_yet_meets_only_the_rows_near_it(spark, folder):
             assert max(x["count"] for x in held.groupBy(F.to_json("key")).count().collect()) < 120
 
 
+def test_salts_are_dealt_to_a_grid_and_the_state_keeps_few_copies(spark, folder):
+    r = random.Random(10)
+    rows = sorted((r.randrange(12_000), "hot", str(i), r.choice([0.0, 1.0])) for i in range(400))
+    feed = Feed(spark, folder + "-in", payments(spark, []).schema).add(payments(spark, rows))
+    expected = pairs(joins.frauds(feed.batch(), people(spark, ["hot"])))
+    ten = [hotkeys.Salts(-(1 << 62), (("hot", 10),))]
+    for name, salts, most in (("none", hotkeys.NO_SALTS, 2.7), ("number", 4, 5.2), ("plan", ten, 9.3)):
+        found = joins.frauds(feed.stream(), people(spark, ["hot"]), salts=salts)
+        jobs.run_available(found, name, path=f"{folder}-out-{name}", checkpoint=f"{folder}-{name}")
+        assert pairs(spark.read.schema(found.schema).parquet(f"{folder}-out-{name}")) == expected != []
+        held = [jobs.state_rows(spark, f"{folder}-{name}", side, batch_id=0).count() for side in ("left", "right")]
+        assert sum(held) < most * len(rows), held  # 3, 9 and 21 copies of a row where first rows alone are salted
+
+
+def test_pairs_of_a_hot_account_are_not_sent_to_its_customer(spark, folder):
+    feed = Feed(spark, folder + "-in", payments(spark, []).schema).add(payments(spark, [(100, "1", "a", 0.0), (101, "1", "b", 1.0)]))
+    found = joins.frauds(feed.stream(), people(spark, ["1"]), salts=hotkeys.NO_SALTS)
+    jobs.run_available(found, "sent", path=folder + "-out", checkpoint=folder + "-checkpoint")
+    assert pairs(spark.read.schema(found.schema).parquet(folder + "-out")) == [("a", "b")]
+    # The customer is found in the state, so it was joined to payments.
+    assert "email" in jobs.state_rows(spark, folder + "-checkpoint", "right", batch_id=0).schema["value"].dataType.simpleString()
+
+
 # --- snapshots under way ----------------------------------------------------------
 
 def test_interleaved_snapshot_gives_the_final_state_wherever_its_chunks_were_read(spark):
